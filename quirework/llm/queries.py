@@ -19,6 +19,80 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.packing import pack_documents
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    # the rank file holds the vocabulary of byte_bpe_50k.json and gives the same ids
+    out = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, size=1024)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.common import scratch_dir
+    from quirework.llm.warc import RECORD_ID, read_archives, write_archives
+
+    path = scratch_dir(spark, "warc")
+    write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, min_revisit=100)
+    page = lambda c: F.substring_index(c, ":", -1).cast("long")
+    records = read_archives(spark, path, with_payload=False).where(F.col("record_id").startswith(RECORD_ID))
+    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
+SELECT d.page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN d.page_id > f.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id > f.first THEN f.first END AS refers_to
+FROM d LEFT JOIN f ON d.digest = f.digest AND d.n >= 100
+"""
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.hostrules import judge_documents
+
+    out = judge_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP6_SQL = r"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) >= 8),
+win2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 7)) AS c FROM win),
+gaps AS (SELECT doc_id, i, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS k FROM win2 WHERE c >= 2),
+rep AS (SELECT doc_id, sum(k) AS n_repeat_words FROM gaps GROUP BY doc_id),
+s AS (SELECT w.doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(l) AS n_lines,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s),
+f AS (SELECT *, base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+             OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)) AS failed FROM b),
+h AS (SELECT source, count(*) AS n, count_if(failed) AS bad FROM f WHERE source IS NOT NULL GROUP BY source),
+m AS (SELECT sum(n) AS n, count(*) AS k, sum(bad) / sum(n) AS mean, sum(n * (bad / n) * (bad / n)) / sum(n) - (sum(bad) / sum(n)) ** 2 AS spread FROM h),
+p AS (SELECT mean, greatest(2, CASE WHEN spread > 1e-12 AND spread < mean * (1 - mean) THEN least(n / k, mean * (1 - mean) / spread - 1) ELSE n / k END) AS weight FROM m),
+r AS (SELECT source FROM h, p WHERE (bad + greatest(mean, 1e-6) * weight) / (n + (greatest(mean, 1e-6) + greatest(1 - mean, 1e-6)) * weight) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM r)) AS kept
+FROM b
+"""
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.secretscan import scan_documents, span_text
+
+    found = scan_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    base = span_text(F.col("spans"), ("assign", "access", "hex"))
+    return found.select(
+        F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+    )
+
+
 #: The rules of the URL query (verdict, host and path).
 URL_RULES = (
     ("allow", "org/"),
@@ -64,9 +138,13 @@ FROM j
 def queries() -> dict:
     return {
         "op1_bpe": op1_bpe,
+        "op2_packing": op2_packing,
+        "op4_warc": op4_warc,
+        "op6_quality_rules": op6_quality_rules,
+        "op8_secret_scan": op8_secret_scan,
         "op10_url_filter": op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": OP10_SQL}
+    return {"op4_warc": OP4_SQL, "op6_quality_rules": OP6_SQL, "op10_url_filter": OP10_SQL}
