@@ -81,6 +81,33 @@ FROM b
 """
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.minhash import near_duplicates
+
+    out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2, percent=80)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+arcs AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM arcs UNION SELECT reach.a, arcs.b FROM reach JOIN arcs ON reach.b = arcs.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, CAST(least(d.doc_id, coalesce(m, d.doc_id)) AS BIGINT) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.a = d.doc_id
+"""
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quirework.llm.secretscan import scan_documents, span_text
 
@@ -93,6 +120,23 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.kdtopk import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, scale=64.0, query_every=20)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 #: The rules of the URL query (verdict, host and path).
 URL_RULES = (
     ("allow", "org/"),
@@ -141,10 +185,12 @@ def queries() -> dict:
         "op2_packing": op2_packing,
         "op4_warc": op4_warc,
         "op6_quality_rules": op6_quality_rules,
+        "op7_minhash": op7_minhash,
         "op8_secret_scan": op8_secret_scan,
+        "op9_topk": op9_topk,
         "op10_url_filter": op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL, "op6_quality_rules": OP6_SQL, "op10_url_filter": OP10_SQL}
+    return {"op4_warc": OP4_SQL, "op6_quality_rules": OP6_SQL, "op7_minhash": OP7_SQL, "op9_topk": OP9_SQL, "op10_url_filter": OP10_SQL}
