@@ -49,6 +49,18 @@ SELECT d.page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest
 FROM d LEFT JOIN f ON d.digest = f.digest AND d.n >= 100
 """
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.licenses import scan_documents
+
+    found = scan_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("sentences").cast("long").alias("n_license_sentences"),
+        F.array_join("sentences", ",").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quirework.llm.hostrules import judge_documents
 
@@ -184,6 +196,7 @@ def queries() -> dict:
         "op1_bpe": op1_bpe,
         "op2_packing": op2_packing,
         "op4_warc": op4_warc,
+        "op5_licenses": op5_licenses,
         "op6_quality_rules": op6_quality_rules,
         "op7_minhash": op7_minhash,
         "op8_secret_scan": op8_secret_scan,
