@@ -28,6 +28,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quirework.llm.ctw import score_documents
+
+    return score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumnRenamed("id", "doc_id")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quirework.llm.common import scratch_dir
     from quirework.llm.warc import RECORD_ID, read_archives, write_archives
@@ -195,6 +201,7 @@ def queries() -> dict:
     return {
         "op1_bpe": op1_bpe,
         "op2_packing": op2_packing,
+        "op3_ctw": op3_ctw,
         "op4_warc": op4_warc,
         "op5_licenses": op5_licenses,
         "op6_quality_rules": op6_quality_rules,
