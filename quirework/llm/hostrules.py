@@ -42,6 +42,8 @@ DEFAULT_RULES: Mapping[str, str] = {
 #: The failures that reject a document by itself.
 BASE_RULES = ("too_short", "repeated")
 
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
 
 def words_of(text: Column) -> Column:
     """The words of a text that isn't null; none for one that is blank."""
@@ -140,7 +142,9 @@ def filter_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES,
     rejected = materialize(rejected, "badhosts")
     n_bad = rejected.count()
     rows = text_statistics(docs, text_col, host_col, _row=F.struct(*(docs[c] for c in docs.columns)))
-    rows = rows.where(~_base_failed(rules, base))
+    # a generator in between: else the optimizer would copy the statistics into the filter,
+    # where each element of an array would compute its whole array again
+    rows = rows.select("_row", "host", F.inline(F.array(F.struct(*STATISTICS)))).where(~_base_failed(rules, base))
     if n_bad:
         rows = rows.join(F.broadcast(rejected) if n_bad <= broadcast_hosts else rejected, "host", "left_anti")
     return rows.select("_row.*")

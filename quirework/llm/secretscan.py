@@ -18,7 +18,6 @@ alike. A map without any shuffle.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
@@ -159,19 +158,24 @@ def span_text(spans, kinds: tuple[str, ...] = KINDS):
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact_documents(docs: DataFrame, threshold: float = 0.8, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
-    """``docs`` with each secret replaced by ``mark``; all rows and columns stay, null texts too."""
-    others = [c for c in docs.columns if c != text_col]
+def redact_documents(docs: DataFrame, threshold: float = 0.8, mark: str = "[SECRET]", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with each secret replaced by ``mark``; all rows and columns stay, null texts too.
+
+    ``length_col``: a column with the text's length, set anew where the text changes.
+    """
+    schema = docs.withColumn(text_col, F.col(text_col).cast("string")).schema
+    text_at = docs.columns.index(text_col)
+    length_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
-            i = b.schema.get_field_index(text_col)
-            clean = [None if x is None else redact(x, scan_text(x, threshold), mark) for x in b.column(i).to_pylist()]
-            cols = [pa.array(clean, pa.string()) if j == i else c for j, c in enumerate(b.columns)]
+            cols = list(b.columns)
+            before = cols[text_at].to_pylist()
+            after = [None if x is None else redact(x, scan_text(x, threshold), mark) for x in before]
+            cols[text_at] = pa.array(after, pa.string())
+            if length_at is not None:
+                old = cols[length_at].to_pylist()
+                cols[length_at] = pa.array([n if x == y else len(y) for n, x, y in zip(old, before, after, strict=True)], cols[length_at].type)
             yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
-    return docs.select(*others, F.col(text_col).cast("string").alias(text_col)).select(docs.columns).mapInArrow(run, docs.withColumn(text_col, F.col(text_col).cast("string")).schema)
-
-
-def digest(s: str) -> str:
-    return hashlib.sha256(s.encode()).hexdigest()
+    return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
