@@ -105,11 +105,11 @@ def search_cell(rows: pa.Table, queries: pa.Table, k: int, leaf: int) -> list[tu
     out: list[tuple[int, int, int]] = []
     if not rows.num_rows or not queries.num_rows:
         return out
-    matrix = lambda t: np.array(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1)
-    points, asked = exact(matrix(rows), matrix(queries))
+    matrix = lambda t, c: np.array(t.column(c).combine_chunks().flatten()).reshape(t.num_rows, -1)
+    points, asked = exact(matrix(rows, "v"), matrix(queries, "q_v"))
     tree = KDTree(points, rows.column("id").to_numpy(), leaf)
     floors = queries.column("floor").to_pylist()
-    ids = queries.column("id").to_pylist()
+    ids = queries.column("q_id").to_pylist()
     for at in range(0, len(ids), 256):
         bound = tree.bounds(asked[at : at + 256])
         for j, b in enumerate(bound):
@@ -137,12 +137,13 @@ def top_k(vectors: DataFrame, k: int = 20, scale: float = 64.0, query_every: int
         left = some_rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         right = queries.withColumn("shard", F.explode(shard_list))
         keys = ("dim", "shard", "block")
+        right = right.select(*(F.col(c).alias(f"q_{c}") for c in keys), F.col("id").alias("q_id"), F.col("v").alias("q_v"), "floor")
 
         def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
             found = list(zip(*search_cell(a, b, k, leaf), strict=True)) or [[], [], []]
             return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), found, strict=True)})
 
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score long")
+        return left.groupBy(*keys).cogroup(right.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(run, "query_id long, vec_id long, score long")
 
     # the pilot: the first shard gives each query a floor, its kth score there
     floorless = asked.withColumn("floor", F.lit(None).cast("long"))
