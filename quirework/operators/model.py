@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 
-RESPONSE = "success boolean, raw_text string, error string, duration_seconds double, retry_count int"
+RESPONSE = "success boolean, raw_text string, error string, duration_seconds double, retry_count integer"
 
 
 @dataclass(frozen=True)
