@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 RESPONSE = "success boolean, raw_text string, error string, duration_seconds double, retry_count integer"
 
@@ -161,7 +162,7 @@ def call_model(df: DataFrame, backend, system: str = "", prompt_col: str = "user
                 f[n] = col
             yield f
 
-    schema = df.schema
+    schema = StructType(list(df.schema.fields))  # add() changes a schema in place
     for field in RESPONSE.split(", "):
         name, kind = field.split()
         schema = schema.add(name, kind)

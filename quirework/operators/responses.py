@@ -9,6 +9,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quirework.functions import rules
 from quirework.functions.text import override_platform, slug, strip_fence
@@ -102,7 +103,7 @@ def resolve_type(given: Column, suggested: Column) -> Column:
 def generation_results(responses: DataFrame, platform: str | None = None) -> DataFrame:
     """Units with responses to results: decision generate, skip or error, the type, the
     content with the platform set."""
-    r = responses.withColumn("p", parse_generated(F.when("success", F.col("raw_text"))))
+    r = responses.withColumn("p", parse_generated(F.when(F.col("success"), F.col("raw_text"))))
     ok = F.col("success") & F.col("p.ok")
     decision = F.when(ok, F.col("p.decision")).otherwise("error")
     r = r.withColumn("decision", decision).withColumn("error_message", F.when(~F.col("success"), F.col("error")).when(~F.col("p.ok"), F.concat(F.lit("Parse error: "), F.col("p.error"))))
@@ -129,4 +130,4 @@ def unique_names(names: DataFrame, group: str = "doc_id", order: str = "seq", na
         return f.assign(file_name=out).drop(columns="_slug")
 
     bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"\.md$", "")
-    return names.withColumn("_slug", slug(bare)).groupBy(group).applyInPandas(give, names.schema.add("file_name", "string"))
+    return names.withColumn("_slug", slug(bare)).groupBy(group).applyInPandas(give, StructType([*names.schema.fields, StructField("file_name", StringType())]))

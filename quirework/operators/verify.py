@@ -117,7 +117,7 @@ def prepare(drafts: DataFrame, chapters: DataFrame, sections: DataFrame) -> Data
 
 def verification_results(responses: DataFrame) -> DataFrame:
     """Decision PASS, FLAG or ERROR with problems, for prepared drafts with response fields."""
-    r = responses.withColumn("p", parse_verified(F.when("success", F.col("raw_text"))))
+    r = responses.withColumn("p", parse_verified(F.when(F.col("success"), F.col("raw_text"))))
     error = F.coalesce("error_message", F.when(~F.coalesce("success", F.lit(False)), F.coalesce("error", F.lit("no response"))), F.when(~F.col("p.ok"), F.concat(F.lit("Parse error: "), F.col("p.error"))))
     r = r.withColumn("error_message", error)
     r = r.withColumn("decision", F.when(F.col("error_message").isNotNull(), "ERROR").otherwise(F.col("p.decision")))

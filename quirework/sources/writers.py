@@ -40,7 +40,7 @@ def write_files(files: DataFrame, root: str) -> int:
 def extraction_reports(pages: DataFrame) -> DataFrame:
     """Per document: the content with page banners, the pages left out with reasons, a summary."""
     banner = F.concat(F.lit("===== PAGE "), F.col("page_number").cast("string"), F.lit(" ====="))
-    head = F.when("has_chapter_header", F.lit(" [CHAPTER START]")).otherwise("")
+    head = F.when(F.col("has_chapter_header"), F.lit(" [CHAPTER START]")).otherwise("")
     text = F.concat(banner, F.when(F.col("is_boilerplate"), F.concat(F.lit(" "), F.col("boilerplate_reason"))).otherwise(head), F.lit("\n"), F.col("text"), F.lit("\n"))
     part = F.struct("page_number", text.alias("t"))
     listed = lambda test: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(test, part))), lambda x: x["t"]), "\n")
@@ -81,7 +81,7 @@ def audit_file(decisions: DataFrame) -> DataFrame:
     """(path, content) per document: the decisions by verdict, with a heading where the
     chapter or parent changes. Lines are built per row and joined in order."""
     d = group_heads(decisions.withColumn("_no", ~F.col("accepted")), ["_no", "chapter_number", "parent_section"], ["accepted", "chapter_number", "parent_section", "section_title", "pos"])
-    head = F.when("is_head", F.concat(F.when("accepted", "\nACCEPTED ").otherwise("\nREJECTED "), F.lit("chapter "), F.col("chapter_number").cast("string"), F.lit(" / "), F.col("parent_section"), F.lit("\n"))).otherwise("")
+    head = F.when(F.col("is_head"), F.concat(F.when(F.col("accepted"), "\nACCEPTED ").otherwise("\nREJECTED "), F.lit("chapter "), F.col("chapter_number").cast("string"), F.lit(" / "), F.col("parent_section"), F.lit("\n"))).otherwise("")
     line = F.concat(head, F.lit("  - "), F.col("section_title"), F.lit(": "), F.col("reason"))
     g = d.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("accepted", "chapter_number", "parent_section", "section_title", "pos", line.alias("t")))), lambda x: x["t"]), "\n").alias("content"), F.count(F.lit(1)).alias("n"), F.count_if("accepted").alias("a"))
     total = F.format_string("subsections: %d\naccepted: %d (%.1f%%)\n", "n", "a", F.col("a") * 100.0 / F.col("n"))
