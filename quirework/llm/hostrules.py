@@ -3,7 +3,8 @@
 Each document gets text statistics and rule failures. Failures are counted by host, the
 host's failure rate is shrunk towards the corpus by an empirical beta prior (moments of the
 host rates), and a host whose shrunk rate is above ``max_rate`` is rejected with all of its
-documents. A small host thus needs far more evidence against it than a large one.
+documents, if its own rate is above too: the prior alone rejects no host. A small host thus
+needs far more evidence against it than a large one.
 
 The statistics cover whole texts and are computed once, row by row without a shuffle, and
 written to the shared folder; host counts combine map-side; a host with a third of all
@@ -103,7 +104,7 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return max(mean, 1e-6) * weight, max(1 - mean, 1e-6) * weight
 
 
-def host_verdicts(stats: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, max_rate: float = 0.5) -> DataFrame:
+def host_verdicts(stats: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, max_rate: float = 0.8) -> DataFrame:
     """(host, n, failed, one count per rule, shrunk_rate, rejected) for each host that isn't null."""
     flags = [F.expr(x).alias(f"r_{k}") for k, x in rules.items()]
     failed = F.greatest(*(F.coalesce(F.col(f"r_{k}"), F.lit(False)).cast("int") for k in rules), F.lit(0))
@@ -111,7 +112,7 @@ def host_verdicts(stats: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, ma
     hosts = marked.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(failed).alias("failed"), *(F.count_if(f"r_{k}").alias(k) for k in rules))
     alpha, beta = beta_prior(hosts)
     shrunk = (F.col("failed") + alpha) / (F.col("n") + (alpha + beta))
-    return hosts.withColumn("shrunk_rate", shrunk).withColumn("rejected", F.col("shrunk_rate") > max_rate)
+    return hosts.withColumn("shrunk_rate", shrunk).withColumn("rejected", (F.col("shrunk_rate") > max_rate) & (F.col("failed") > max_rate * F.col("n")))
 
 
 def _base_failed(rules: Mapping[str, str], base: tuple[str, ...]) -> Column:
@@ -121,7 +122,7 @@ def _base_failed(rules: Mapping[str, str], base: tuple[str, ...]) -> Column:
     return failed
 
 
-def judge_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, base: tuple[str, ...] = BASE_RULES, max_rate: float = 0.5, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def judge_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, base: tuple[str, ...] = BASE_RULES, max_rate: float = 0.8, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The statistics with base_failed, host_rejected and kept for every row of ``docs``."""
     stats = materialize(text_statistics(docs, text_col, host_col, id=docs[id_col].cast("long")), "hostrules")
     bad = host_verdicts(stats, rules, max_rate).where("rejected").select("host", F.lit(True).alias("host_rejected"))
@@ -130,7 +131,7 @@ def judge_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, b
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
 
 
-def filter_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, base: tuple[str, ...] = BASE_RULES, max_rate: float = 0.5, text_col: str = "text", host_col: str = "source", broadcast_hosts: int = 50_000) -> DataFrame:
+def filter_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, base: tuple[str, ...] = BASE_RULES, max_rate: float = 0.8, text_col: str = "text", host_col: str = "source", broadcast_hosts: int = 50_000) -> DataFrame:
     """The rows of ``docs`` that are kept, with all columns as they were.
 
     The first pass counts failures by host. The second judges each row by its own text and

@@ -92,7 +92,7 @@ f AS (SELECT *, base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3
 h AS (SELECT source, count(*) AS n, count_if(failed) AS bad FROM f WHERE source IS NOT NULL GROUP BY source),
 m AS (SELECT sum(n) AS n, count(*) AS k, sum(bad) / sum(n) AS mean, sum(n * (bad / n) * (bad / n)) / sum(n) - (sum(bad) / sum(n)) ** 2 AS spread FROM h),
 p AS (SELECT mean, greatest(2, CASE WHEN spread > 1e-12 AND spread < mean * (1 - mean) THEN least(n / k, mean * (1 - mean) / spread - 1) ELSE n / k END) AS weight FROM m),
-r AS (SELECT source FROM h, p WHERE (bad + greatest(mean, 1e-6) * weight) / (n + (greatest(mean, 1e-6) + greatest(1 - mean, 1e-6)) * weight) > 0.5)
+r AS (SELECT source FROM h, p WHERE (bad + greatest(mean, 1e-6) * weight) / (n + (greatest(mean, 1e-6) + greatest(1 - mean, 1e-6)) * weight) > 0.8 AND bad > 0.8 * n)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM r)) AS kept
 FROM b

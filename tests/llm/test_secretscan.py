@@ -1,0 +1,78 @@
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quirework.llm.secretscan import lex_pairs, pattern_spans, redact, redact_documents, scan_documents, scan_text
+
+KEY = "q8Zr2LmP0xWv7TnB"
+
+
+def brute(text):
+    """The three patterns as they are given, with the filters afterwards."""
+    out = []
+    for kind, p, ok in (
+        ("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 12),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16),
+    ):
+        out += [(kind, m.start(), m.end()) for m in re.finditer(p, text) if ok(m)]
+    return sorted(out)
+
+
+PARTS = st.sampled_from(["token", "PASSWORD", "api_key", "apikey", "Secret", "toKen", "=", ":", " ", '"', "'", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "xyz", "-", "\n", "é", "K", "ſ", "passwd"])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(PARTS, max_size=25).map("".join))
+def test_patterns_equal_brute_force(text):
+    assert sorted(tuple(s) for s in pattern_spans(text)) == brute(text)
+    assert {s for s in scan_text(text) if s.kind != "lexed"} == set(pattern_spans(text))
+
+
+@pytest.mark.parametrize("text", [
+    f'db_pwd = "{KEY}"',
+    f"K = '{KEY}'\nclient_credential = K",
+    f"A = '{KEY}'\nB = A\nsettings['auth_header'] = B",
+    f"<passphrase>{KEY}</passphrase>",
+    f"private_key := `{KEY}`",
+    f"PART = '{KEY[:8]}'\nmy_credential = PART + '{KEY}'",
+])
+def test_lexed(text):
+    spans = [s for s in scan_text(text) if s.kind == "lexed"]
+    assert spans and all(text[s.start : s.end] in (KEY, KEY[:8]) for s in spans)
+    assert any(text[s.start : s.end] == KEY for s in spans)
+
+
+@pytest.mark.parametrize("text", [
+    "auth = 'changeme'", "the pwd = short", f"colour = '{KEY}'", "Authors: the people who wrote it", "password", f"note: {KEY} without a name", "secret: see the appendix for all of it",
+    "auth_url = \"see the manual\"",
+])
+def test_clean(text):
+    assert not scan_text(text)
+
+
+def test_constants_take_the_last_value():
+    pairs = list(lex_pairs("A = 'one'\nA = 'two'\nB = A"))
+    assert [x.text for x in pairs[-1][1]] == ["two"]
+
+
+def test_redaction():
+    text = f'x token = "{KEY}abc" y'
+    assert redact(text, scan_text(text)) == 'x [SECRET]" y'
+    assert redact("plain", []) == "plain"
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = scan_documents(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    found = {r.id: [tuple(s) for s in r.spans] for r in rows}
+    assert [k for k, _, _ in found[7]] == ["assign", "hex", "access"]
+    assert found[3] == found[4] == found[6] == []
+    assert scan_documents(no_docs).count() == 0
+    clean = redact_documents(odd_docs)
+    assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count()
+    assert clean.where("doc_id = 7").first().text == "[SECRET]\" and [SECRET]"
+    assert clean.where("doc_id = 3").first().text is None
+    assert redact_documents(no_docs).count() == 0
