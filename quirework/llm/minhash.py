@@ -7,11 +7,14 @@
 2. Documents with equal sets collapse into the one with the smallest id, by a digest.
 3. Band hashes put the representatives into buckets. In each bucket all are compared with
    its smallest id, so a bucket of n gives n - 1 candidates, never all of its pairs.
-4. Candidates are checked on signatures (with a margin of five standard deviations, so that no
-   link is lost there), then exactly on the full shingle sets.
-5. Large-star/small-star components. What a pivot can't decide is finished exactly: in
-   buckets which hold more than one component still, members of different components are
-   compared on signatures, in blocks of bounded size, and the survivors on sets.
+4. Candidates are checked on signatures (with a margin of four standard deviations: a link is
+   lost there with probability 3e-5 at most), then exactly on the full shingle sets.
+5. Large-star/small-star components. What a pivot can't decide is finished exactly, in the
+   buckets which still hold more than one component. First, in a few rounds, each member outside
+   of the largest component offers its two most similar partners of others, which is linear
+   in the bucket and joins what hangs together; then all pairs of different components that
+   are left and agree on signatures are checked on sets where they meet, in blocks of bounded
+   size, and only links leave the task.
 
 With 28 bands of 4 rows a pair at similarity 0.8 shares no bucket with probability
 (1 - 0.8^4)^28 = 4e-7.
@@ -160,35 +163,76 @@ def sets_agree(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return arrow_map(both, check, "a long, b long", 64).distinct()
 
 
-def undecided_pairs(members: DataFrame, signed: DataFrame, least: float, block: int = 1024) -> DataFrame:
-    """Pairs of different components in a bucket that agree on signatures.
+def cross_pairs(members: DataFrame, facts: DataFrame, least: float, bands: int, percent: int, top: int | None = None, block: int = 1024) -> DataFrame:
+    """(a, b) pairs of different components in a bucket, of those that agree on signatures.
 
-    ``members``: (key, id, component) of buckets with several components. A bucket of more than
-    ``block`` members is cut into blocks, and each pair of blocks is a group of its own.
+    ``members``: (key, band, id, component) of buckets with several components. A pair is
+    looked at only in the first band it shares. With ``top``, each member outside of the bucket's
+    largest component offers its ``top`` most similar partners, yet unchecked. Without, ``facts``
+    has the shingle sets too: all pairs are checked on full sets right here, and a member gives
+    one link for each component it is linked with, so what comes out stays linear. A bucket of
+    more than ``block`` members is cut into blocks; each pair of blocks is a group of its own.
     """
     size = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("k"))
     rows = members.join(size, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
-    rows = rows.join(signed.select("id", "signature"), "id").select("key", "lo", "hi", "mine", "id", "component", "signature")
+    kept = ["id", "signature"] if top is not None else ["id", "signature", "shingles"]
+    rows = rows.join(facts.select(*kept), "id").select("key", "band", "lo", "hi", "mine", "component", *kept)
 
     def compare(t: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u4").reshape(t.num_rows, -1)
         ids, comp, mine = (t.column(c).to_numpy() for c in ("id", "component", "mine"))
-        hi = t.column("hi")[0].as_py()
-        out_a, out_b = [], []
-        right = np.flatnonzero(mine == hi)
-        for i in np.flatnonzero(mine == t.column("lo")[0].as_py()):
-            near = right[comp[right] != comp[i]]
-            near = near[(sig[near] == sig[i]).mean(axis=1) >= least]
-            out_a += np.minimum(ids[near], ids[i]).tolist()
-            out_b += np.maximum(ids[near], ids[i]).tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+        band, lo, hi = (t.column(c)[0].as_py() for c in ("band", "lo", "hi"))
+        sets = [] if top is not None else [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        lengths = np.array([len(x) for x in sets], np.int64)
+        names, sizes = np.unique(comp, return_counts=True)
+        largest = names[np.argmax(sizes)]
+        out: list[tuple[int, int]] = []
+
+        def alike(i: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            near = among[comp[among] != comp[i]]
+            if top is None:  # sets of too different sizes can't be linked
+                small, large = np.minimum(lengths[near], lengths[i]), np.maximum(lengths[near], lengths[i])
+                near = near[100 * small >= percent * large]
+            same = sig[near] == sig[i]
+            share = same.mean(axis=1)
+            good = (share >= least) & (same.reshape(len(near), bands, sig.shape[1] // bands).all(axis=2).argmax(axis=1) == band)
+            return near[good], share[good]
+
+        def linked(i: int, near: np.ndarray) -> np.ndarray:
+            """Those of ``near`` whose sets are linked with i's."""
+            if not len(near):
+                return near
+            flat = np.concatenate([sets[j] for j in near])
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            common = np.add.reduceat(sets[i][at] == flat, np.cumsum(lengths[near]) - lengths[near], dtype=np.int64)
+            return near[100 * common >= percent * (lengths[near] + lengths[i] - common)]
+
+        def visit(i: int, among: np.ndarray) -> None:
+            near, share = alike(i, among)
+            if top is not None:
+                near = near[np.argsort(-share, kind="stable")[:top]]
+            else:
+                near = linked(i, near)
+                near = near[np.unique(comp[near], return_index=True)[1]]
+            out.extend((int(min(ids[j], ids[i])), int(max(ids[j], ids[i]))) for j in near)
+
+        left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
+        # the pairs within the largest component are the ones that need no look, so the
+        # members outside of it see all the others
+        for i in left[comp[left] != largest]:
+            visit(i, right)
+        if lo != hi:
+            for i in right[comp[right] != largest]:
+                visit(i, left)
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 2_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 2_000_000, offers: int = 2, rounds: int = 2) -> DataFrame:
     """(id, n_shingles, component, kept) of each row; kept: it is its component's smallest id."""
     signed = materialize(signatures(docs, width, bands, rows, id_col, text_col), "signatures")
     linked = signed.where("id IS NOT NULL AND n_shingles > 0")
@@ -196,32 +240,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     classes = materialize(linked.select("id", "digest").join(copies, "digest").where("id > rep").select("id", "digest", "rep").distinct(), "classes")
     reps = materialize(linked.join(classes.select("id", "digest"), ["id", "digest"], "left_anti"), "representatives")
 
-    buckets = reps.select("id", F.explode("keys").alias("key"))
+    buckets = reps.select("id", F.posexplode("keys").alias("band", "key"))
     pivots = buckets.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("pivot < last").drop("last")
-    shared = materialize(buckets.join(pivots, "key").select("key", "id", "pivot", "n"), "buckets")
+    shared = materialize(buckets.join(pivots, "key").select("key", "band", "id", "pivot", "n"), "buckets")
 
     sigma = (percent * (100 - percent) / 1e4 / (bands * rows)) ** 0.5
-    least = percent / 100 - 5 * sigma
+    least = percent / 100 - 4 * sigma
     candidates = shared.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        near = materialize(pairs, "near")
-        ids = materialize(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "ids")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        ids = materialize(wanted.distinct(), "ids")
         few = ids.count() <= broadcast_ids
         texts = keyed_text(docs, id_col, text_col).join(F.broadcast(ids) if few else ids, "id", "left_semi")
-        sets = materialize(shingle_sets(texts, width), "sets")
+        return materialize(shingle_sets(texts, width), "sets")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        near = materialize(pairs, "near")
+        sets = sets_of(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))))
         return materialize(sets_agree(near, sets, percent), "links")
 
+    def mixed_buckets(component: DataFrame) -> DataFrame:
+        rows = shared.where("n > 2").join(component, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
+        rows = materialize(rows, "members")
+        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        return rows.join(mixed, "key", "left_semi")
+
     links = confirmed(signatures_agree(candidates, reps, least))
+    tested = candidates
     component = connected_components(links)
-    rows_of = shared.where("n > 2").join(component, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    rows_of = materialize(rows_of, "members")
-    mixed = rows_of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = materialize(undecided_pairs(rows_of.join(mixed, "key", "left_semi"), reps, least), "undecided")
+    for _ in range(rounds):
+        pairs = cross_pairs(mixed_buckets(component), reps, least, bands, percent, offers)
+        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "offers")
+        if pairs.isEmpty():
+            break  # the best partners are all tested; the others follow below
+        tested = tested.unionByName(pairs)
+        links = links.unionByName(confirmed(pairs))
+        component = connected_components(links)
+    rest = materialize(mixed_buckets(component), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(confirmed(rest))
-    links = links.unionByName(classes.select(F.col("rep").alias("a"), F.col("id").alias("b")))
-    component = connected_components(links)
+        facts = reps.select("id", "signature").join(sets_of(rest.select("id")), "id")
+        links = links.unionByName(materialize(cross_pairs(rest, facts, least, bands, percent), "links"))
+    # copies hang on their representative's component
+    joined = classes.select("id", "rep").distinct().join(component.withColumnRenamed("id", "rep"), "rep", "left")
+    copied = joined.select(F.coalesce("component", "rep").alias("a"), F.col("id").alias("b"))
+    component = connected_components(links.unionByName(copied))
     out = signed.select("id", "n_shingles").join(component, "id", "left")
     out = out.withColumn("component", F.coalesce("component", "id"))
     return out.withColumn("kept", F.coalesce(F.col("component") == F.col("id"), F.lit(True)))
