@@ -1,4 +1,4 @@
-"""Shared helpers: scratch tables in the cluster's shared folder, and Arrow streaming.
+"""Shared helpers: input columns under fixed names, and Arrow batches in slices.
 
 All operators of this subpackage select only the columns they need under names of their
 own, so extra input columns, also with clashing names, never matter.
@@ -6,37 +6,18 @@ own, so extra input columns, also with clashing names, never matter.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows that the Python side of an operator handles at once; long texts come in small slices.
-SLICE_ROWS = 512
-
-
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, the one folder all executors share.
-
-    Only where that setting is absent (tests, a bare local session) a temporary folder of
-    this machine is used, as driver and executors are then the same process.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="quirework-")
-    return f"{base.rstrip('/')}/quirework-{label}-{uuid.uuid4().hex}"
+from quirework.sources.scratch import materialize, scratch_dir
 
+__all__ = ["arrow_map", "keyed_text", "materialize", "scratch_dir", "sliced"]
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage and
-    keeps a costly result from being computed twice; it survives the loss of executors."""
-    path = scratch_dir(df.sparkSession, label)
-    schema = df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+#: Rows that the Python side of an operator handles at once; long texts come in small slices.
+SLICE_ROWS = 512
 
 
 def keyed_text(docs: DataFrame, id_col: str, text_col: str, empty_for_null: bool = True) -> DataFrame:
@@ -63,8 +44,3 @@ def arrow_map(df: DataFrame, per_slice: Callable[[pa.RecordBatch], pa.RecordBatc
             yield per_slice(batch)
 
     return df.mapInArrow(run, schema)
-
-
-def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z alone."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

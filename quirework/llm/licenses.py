@@ -112,7 +112,8 @@ RULES: tuple[tuple[str, str], ...] = (
     ("Proprietary", "copyright no.copying"),
 )
 
-SENTENCE_END = re.compile(r"(?<=[.!?;])\s+|\n\s*\n|\n(?=\s*(?:[#*/\-]*\s*)?(?:©|\([Cc]\)|[Cc]opyright\b))|(?<=:)\s*\n")
+# possessive, so that long runs of white space stay linear
+SENTENCE_END = re.compile(r"(?<=[.!?;])\s++|\n[^\S\n]*+\n\s*+|\n(?=\s*+(?:[#*/\-]++\s*+)?(?:©|\([Cc]\)|[Cc]opyright\b))|(?<=:)[^\S\n]*+\n")
 COMMENT = re.compile(r"(?m)^[ \t]*(?://+|#+|\*+|--|;+)[ \t]?")
 
 

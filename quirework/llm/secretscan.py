@@ -44,11 +44,12 @@ SENSITIVE = {
 SENSITIVE_NAME = re.compile("|".join(map(re.escape, SENSITIVE)))
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|changeme|change_me|example|placeholder|todo|none|null|true|false|undefined|your[-_ ].*|<.*>|\$\{.*\}|\$\(.*\)|%\(.*\)s|\{\{.*\}\})$")
 
-NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::)[A-Za-z_$][\w$]*|\[\s*[\"'][^\"'\n]{1,80}[\"']\s*\]|-[A-Za-z][\w$]*)*"
+# names are possessive and start where no name goes on before, so long runs stay linear
+NAME = r"[A-Za-z_$][\w$]*+(?:(?:\.|->|::)[A-Za-z_$][\w$]*+|\[\s{0,8}[\"'][^\"'\n]{1,80}[\"']\s{0,8}\]|-[A-Za-z][\w$]*+)*+"
 LITERAL = r"\"(?:[^\"\\\n]|\\.){0,4096}\"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`"
 PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?P<name>{NAME})(?P=q)\s{{0,8}}(?::=|=>|=(?!=)|:(?!:))[ \t]{{0,8}}(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]{{0,8}}\+[ \t]{{0,8}}(?:{LITERAL}|{NAME}))*|[^\s\"'`,;#<>(){{}}\[\]]+)"
-    rf"|<(?P<tag>[A-Za-z_][\w.-]*)>(?P<body>[^<>\n]{{1,4096}})</(?P=tag)>",
+    rf"(?P<q>[\"']?)(?<![\w$.\-])(?P<name>{NAME})(?P=q)\s{{0,8}}(?::=|=>|=(?!=)|:(?!:))[ \t]{{0,8}}(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]{{0,8}}\+[ \t]{{0,8}}(?:{LITERAL}|{NAME}))*|[^\s\"'`,;#<>(){{}}\[\]]+)"
+    rf"|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<body>[^<>\n]{{1,4096}})</(?P=tag)>",
     re.ASCII,
 )
 PART = re.compile(rf"(?P<literal>{LITERAL})|(?P<name>{NAME})", re.ASCII)

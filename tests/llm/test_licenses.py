@@ -55,3 +55,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert scan_documents(no_docs).count() == 0
     docs = spark.createDataFrame([(1, "Released under the MIT License."), (1, "Released under the MIT License."), (2, None)], "doc_id long, text string")
     assert sorted((r.id, r.licenses) for r in scan_documents(docs).collect()) == [(1, ["MIT"]), (1, ["MIT"]), (2, [])]
+
+
+@pytest.mark.parametrize("run", ["\n" * 200_000, "\n" + " " * 200_000, "\n#" * 100_000, "\n \t" * 70_000, ". " * 100_000, "license " * 20_000])
+def test_long_runs_are_linear(run):
+    import time
+
+    began = time.time()
+    S.identify("license " + run + "x")
+    assert time.time() - began < 10

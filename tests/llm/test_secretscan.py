@@ -76,3 +76,12 @@ def test_odd_rows(odd_docs, no_docs):
     assert clean.where("doc_id = 7").first().text == "[SECRET]\" and [SECRET]"
     assert clean.where("doc_id = 3").first().text is None
     assert redact_documents(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("run", ["a" * 200_000, "a-" * 100_000, "a." * 100_000, "<" + "a" * 200_000, "x='" * 50_000, " " * 200_000, "=" * 200_000, '"' * 100_000])
+def test_long_runs_are_linear(run):
+    import time
+
+    began = time.time()
+    scan_text("secret password " + run)
+    assert time.time() - began < 10
