@@ -50,8 +50,9 @@ from quirework.llm.common import materialize, sliced
 DEPTH = 5
 TOP = 2  # levels that are solved for the whole corpus at once
 U8, U16 = np.uint64(8), np.uint64(16)
+TEXT_BITS = 64 - 8 * (DEPTH + 1)  # what a gram leaves for the text's number in a sort key
 LN_HALF = float(np.log(0.5))
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 TOKEN_LISTS = "kind string, bucket int, block int, blob binary"
 
 
@@ -115,10 +116,10 @@ def by_bucket(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def batches_of(texts: list[bytes], size: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Index ranges of texts of about ``size`` bytes and at most 2^16 texts."""
+    """Index ranges of texts of about ``size`` bytes and no more texts than a sort key can number."""
     lo, n = 0, 0
     for i, t in enumerate(texts):
-        if i > lo and (n + len(t) > size or i - lo >= 1 << 16):
+        if i > lo and (n + len(t) > size or i - lo >= 1 << TEXT_BITS):
             yield lo, i
             lo, n = i, 0
         n += len(t) + DEPTH
@@ -143,12 +144,12 @@ def gram_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = np.cumsum(sizes + DEPTH)[:-1] - DEPTH
     for j in range(DEPTH):
         real[starts + j] = False
-    packed = key[real] << U16
+    packed = key[real] << np.uint64(TEXT_BITS)
     packed |= np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
     packed.sort()
-    k = packed >> U16
+    k = packed >> np.uint64(TEXT_BITS)
     first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-    return k[first], first, (packed & np.uint64(0xFFFF)).astype(np.int64)
+    return k[first], first, (packed & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
 
 
 def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
