@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
-from quirework.sources.scratch import StageTables, materialize
 from quirework.operators import model, pages, responses, sections, stats, subsections, units, verify
+from quirework.sources import writers
+from quirework.sources.scratch import StageTables, materialize
 
 BOOK_SQL = """
 d AS (
@@ -359,7 +360,35 @@ def _label_results(spark, sf_dir):
     problem = lambda s: F.struct(F.lit("c").alias("category"), F.lit("x").alias("claim"), F.lit("y").alias("issue"), s.alias("severity"))
     decision = F.when(F.col("toxic") == 1, "FLAG").when(F.col("quality").isNull(), "ERROR").otherwise("PASS")
     severity = F.when(F.col("toxic") == 1, "critical").when(F.col("quality") == 0, "minor").otherwise("trivial")
-    return x.select("doc_id", F.col("doc_id").cast("string").alias("kb"), decision.alias("decision"), F.array(problem(severity)).alias("problems"))
+    return x.select("doc_id", F.col("doc_id").cast("string").alias("kb"), decision.alias("decision"), F.array(problem(severity)).alias("problems"), F.when(decision == "ERROR", "no quality").alias("error_message"))
+
+
+def verification_report(spark, sf_dir):
+    return verify.report(_label_results(spark, sf_dir)).select("doc_id", "report")
+
+
+FRONT_SQL = "'---' || chr(10) || 'id: nx-os-unit-' || doc_id || chr(10) || 'source:' || chr(10) || '  chapter: \"Chapter ' || doc_id % 7 || '\"' || chr(10) || '  pages: [' || doc_id || ', ' || (doc_id + 1) || ']' || chr(10) || '---' || chr(10) || coalesce(text, '')"
+
+
+def front_matter(spark, sf_dir):
+    d = _sql(spark.read.parquet(f"{sf_dir}/documents.parquet"), f"SELECT doc_id, {FRONT_SQL} AS draft FROM documents")
+    f = d.select("doc_id", verify.parse_front(F.col("draft")).alias("f"))
+    title = T.title_form(T.title_of_id(F.col("f.id")))
+    return f.select("doc_id", "f.ok", title.alias("want"), "f.chapter", F.get("f.pages", F.lit(1)).alias("last_page"), F.md5(F.col("f.body").cast("binary")).alias("body_md5"))
+
+
+def section_files(spark, sf_dir):
+    return writers.section_files(_sections(spark, sf_dir)).select("path")
+
+
+def decision_previews(spark, sf_dir):
+    return _decided(spark, sf_dir).select("doc_id", "chapter_idx", "pos", F.md5(F.col("content_preview").cast("binary")).alias("preview_md5"))
+
+
+def audit_headings(spark, sf_dir):
+    d = _decided(spark, sf_dir)
+    heads = verify.group_heads(d, ["accepted", "chapter_number", "parent_section"], ["accepted", "chapter_number", "parent_section", "section_title", "pos"])
+    return heads.groupBy("doc_id").agg(F.count_if("is_head").alias("n_heads"), F.count(F.lit(1)).alias("n"))
 
 
 def verification_routing(spark, sf_dir):
@@ -404,6 +433,7 @@ QUERIES = {f.__name__: f for f in (
     page_boilerplate_reasons, page_counts, page_clean_lines, header_hints, chapter_starts, chapter_toc, section_anchors, fuzzy_sections,
     h3_candidates, section_notes, section_stats, section_counts, h3_merge, h3_filter, h3_reason_histogram, h3_acceptance,
     generation_units, unit_types, unit_prompts, platform_override, kb_parse, kb_names, kb_source_match, kb_page_match,
+    verification_report, front_matter, section_files, decision_previews, audit_headings,
     verification_routing, severity_counts, pipeline_stats, title_forms, knowledge_base,
 )}
 
@@ -440,6 +470,14 @@ SQL = {
         FROM sec k JOIN sec s USING (doc_id, chapter_idx) WHERE k.section_level = 2)
         SELECT doc_id, kb, CAST(chapter_idx AS BIGINT) AS chapter_idx, pos, 'pages' AS how FROM o WHERE r = 1""",
     "verification_routing": LABELS_SQL + "SELECT CASE decision WHEN 'PASS' THEN 'auto-approved' WHEN 'FLAG' THEN 'needs-review' ELSE 'verification-errors' END AS target, count(*) AS n FROM r GROUP BY 1",
+    "verification_report": """SELECT doc_id, CASE WHEN toxic = 1 THEN 'Decision: FLAG' || chr(10) || '- [critical] c: x - y' WHEN quality IS NULL THEN 'Decision: ERROR' || chr(10) || 'Error: no quality'
+        WHEN quality = 0 THEN 'Decision: PASS' || chr(10) || '- [minor] c: x - y' ELSE 'Decision: PASS' END AS report FROM labels""",
+    "front_matter": "SELECT doc_id, true AS ok, 'unit ' || doc_id AS want, 'Chapter ' || doc_id % 7 AS chapter, doc_id + 1 AS last_page, md5(coalesce(text, '')) AS body_md5 FROM documents",
+    "section_files": LINES_SQL + """SELECT printf('%d/sections/chapter-%d-chapter-topic-%d/%02d-%s%s.md', doc_id, chapter_number, chapter_number, pos + 1, CASE WHEN section_level = 3 THEN 'h3-' ELSE '' END,
+        regexp_replace(lower(section_title), '[^a-z0-9]+', '-', 'g')) AS path FROM sec""",
+    "decision_previews": MERGED_SQL + "SELECT doc_id, CAST(chapter_idx AS BIGINT) AS chapter_idx, pos, md5(replace(substr(content, 1, 80), chr(10), ' ')) AS preview_md5 FROM dec",
+    "audit_headings": MERGED_SQL + """, hd AS (SELECT doc_id, (accepted, chapter_number, parent_section) IS DISTINCT FROM lag((accepted, chapter_number, parent_section)) OVER (PARTITION BY doc_id ORDER BY accepted, chapter_number, parent_section, section_title, pos) AS head FROM dec)
+        SELECT doc_id, count(*) FILTER (head) AS n_heads, count(*) AS n FROM hd GROUP BY doc_id""",
     "severity_counts": LABELS_SQL + "SELECT severity, count(*) AS n FROM r WHERE severity <> 'trivial' GROUP BY severity",
     "pipeline_stats": LABELS_SQL + """, g AS (SELECT count_if(role = 'user') AS a, count_if(role = 'assistant') AS b, count_if(role NOT IN ('user', 'assistant') OR role IS NULL) AS c FROM conversations),
         v AS (SELECT count_if(decision = 'PASS') AS p, count_if(decision = 'FLAG') AS f, count_if(decision = 'ERROR') AS e FROM r)
