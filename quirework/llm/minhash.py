@@ -170,24 +170,35 @@ def cross_pairs(members: DataFrame, facts: DataFrame, least: float, bands: int,
     looked at only in the first band it shares. With ``top``, each member outside of the bucket's
     largest component offers its ``top`` most similar partners, yet unchecked. Without, ``facts``
     has the shingle sets too: all pairs are checked on full sets right here, and a member gives
-    one link for each component it is linked with, so what comes out stays linear. A bucket of
-    more than ``block`` members is cut into blocks; each pair of blocks is a group of its own.
+    one link for each component it is linked with, so what comes out stays linear.
+
+    Members of the largest component need no look at each other. So a bucket of more than
+    ``block`` members is cut into blocks of all its members and blocks of those outside of the
+    largest component, and each pair of such blocks is a group of its own: a hot bucket with few
+    outsiders is spread out evenly with a copy of these in each group.
     """
-    size = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("k"))
-    rows = members.join(size, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    rows = rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    size = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"))
+    blocks = lambda n: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
+    size = size.select("key", F.col("top.component").alias("largest"), blocks(F.col("n")).alias("k_all"), blocks(F.col("n") - F.col("top.c")).alias("k_out"))
+    rows = members.join(size, "key").withColumn("outside", F.col("component") != F.col("largest"))
+    mine = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    cols = ["key", "band", "id", "component", "outside", "is_left", "is_right", "lo", "hi"]
+    # in a bucket of one block a member is there once, for both sides
+    right = rows.withColumn("is_right", F.lit(True)).withColumn("is_left", F.col("outside") & (F.col("k_all") == 1))
+    right = right.withColumn("lo", each("k_out")).withColumn("hi", mine("k_all")).select(cols)
+    left = rows.where("outside AND k_all > 1").withColumn("is_right", F.lit(False)).withColumn("is_left", F.lit(True))
+    left = left.withColumn("lo", mine("k_out")).withColumn("hi", each("k_all")).select(cols)
     kept = ["id", "signature"] if top is not None else ["id", "signature", "shingles"]
-    rows = rows.join(facts.select(*kept), "id").select("key", "band", "lo", "hi", "mine", "component", *kept)
+    dealt = right.unionByName(left).join(facts.select(*kept), "id").select("key", "lo", "hi", "band", "component", "is_left", "is_right", *kept)
 
     def compare(t: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u4").reshape(t.num_rows, -1)
-        ids, comp, mine = (t.column(c).to_numpy() for c in ("id", "component", "mine"))
-        band, lo, hi = (t.column(c)[0].as_py() for c in ("band", "lo", "hi"))
+        ids, comp, is_left, is_right = (t.column(c).to_numpy() for c in ("id", "component", "is_left", "is_right"))
+        band = t.column("band")[0].as_py()
         sets = [] if top is not None else [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
         lengths = np.array([len(x) for x in sets], np.int64)
-        names, sizes = np.unique(comp, return_counts=True)
-        largest = names[np.argmax(sizes)]
         out: list[tuple[int, int]] = []
 
         def alike(i: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,18 +229,13 @@ def cross_pairs(members: DataFrame, facts: DataFrame, least: float, bands: int,
                 near = near[np.unique(comp[near], return_index=True)[1]]
             out.extend((int(min(ids[j], ids[i])), int(max(ids[j], ids[i]))) for j in near)
 
-        left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-        # the pairs within the largest component are the ones that need no look, so the
-        # members outside of it see all the others
-        for i in left[comp[left] != largest]:
+        right = np.flatnonzero(is_right)
+        for i in np.flatnonzero(is_left):
             visit(i, right)
-        if lo != hi:
-            for i in right[comp[right] != largest]:
-                visit(i, left)
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
+    return dealt.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 2_000_000, offers: int = 2, rounds: int = 2) -> DataFrame:
@@ -263,7 +269,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         rows = shared.where("n > 2").join(component, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
         rows = materialize(rows, "members")
         mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        return rows.join(mixed, "key", "left_semi")
+        return materialize(rows.join(mixed, "key", "left_semi"), "mixed")
 
     links = confirmed(signatures_agree(candidates, reps, least))
     tested = candidates
@@ -276,7 +282,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         tested = tested.unionByName(pairs)
         links = links.unionByName(confirmed(pairs))
         component = connected_components(links)
-    rest = materialize(mixed_buckets(component), "rest")
+    rest = mixed_buckets(component)
     if not rest.isEmpty():
         facts = reps.select("id", "signature").join(sets_of(rest.select("id")), "id")
         links = links.unionByName(materialize(cross_pairs(rest, facts, least, bands, percent), "links"))
