@@ -115,18 +115,6 @@ def by_bucket(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 # --- texts to grams and words ----------------------------------------------------------------
 
 
-def batches_of(texts: list[bytes], size: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Index ranges of texts of about ``size`` bytes and no more texts than a sort key can number."""
-    lo, n = 0, 0
-    for i, t in enumerate(texts):
-        if i > lo and (n + len(t) > size or i - lo >= 1 << TEXT_BITS):
-            yield lo, i
-            lo, n = i, 0
-        n += len(t) + DEPTH
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def gram_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sorted distinct grams, start of each one's run, text number of each place in the runs).
 
@@ -152,18 +140,25 @@ def gram_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return k[first], first, (packed & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
 
 
-def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted distinct word hashes, place in them of each word in order, words per text)."""
-    known: defaultdict[bytes, int] = defaultdict()
-    known.default_factory = known.__len__
-    parts, sizes = [], np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        words = t.split()
-        sizes[i] = len(words)
-        parts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
-    distinct, place = np.unique(hashes, return_inverse=True)
-    return distinct, place[np.concatenate(parts)] if parts else np.zeros(0, np.int64), sizes
+class Words:
+    """Numbers the distinct words of the texts it is given."""
+
+    def __init__(self) -> None:
+        self.known: defaultdict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+
+    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each word in order, words per text)."""
+        parts, sizes = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            words = t.split()
+            sizes[i] = len(words)
+            parts.append(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
+        return np.concatenate(parts), sizes
+
+    def hashes(self) -> np.ndarray:
+        """By number."""
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.known), np.uint64, len(self.known))
 
 
 # --- the trees --------------------------------------------------------------------------------
@@ -306,34 +301,38 @@ def _blocks(docs: DataFrame, n_blocks: int) -> DataFrame:
     """(block, chunk): the rows of a block that a task meets together, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            block = b.column("block").to_numpy()
-            out = [(k, _ipc(pa.RecordBatch.from_arrays([b.column(c).take(pa.array(rows)) for c in ("id", "held_out", "text")], ["id", "held_out", "text"]))) for k, rows in by_bucket(block, n_blocks)]
+        for b in sliced(batches, 4096):
+            names = ["id", "held_out", "text"]
+            out = []
+            for k, rows in by_bucket(b.column("block").to_numpy(), n_blocks):
+                for at in range(0, len(rows), 512):
+                    part = pa.array(rows[at : at + 512])
+                    out.append((k, _ipc(pa.RecordBatch.from_arrays([b.column(c).take(part) for c in names], names))))
             ks, chunks = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(chunks, pa.binary())], ["block", "chunk"])
 
     return docs.mapInArrow(run, "block int, chunk binary")
 
 
-def _open(chunks: list[bytes]) -> tuple[list, np.ndarray, list[bytes]]:
+def _batches(chunks: pa.ChunkedArray) -> Iterator[tuple[list, np.ndarray, list[bytes]]]:
+    """(ids, held out, texts in lower case) in batches of about ``BATCH_BYTES`` and no more
+    texts than a sort key can number. Chunks are opened one by one: a task holds a batch."""
     ids: list = []
     held: list = []
     texts: list[bytes] = []
-    for c in chunks:
-        t = pa.ipc.open_stream(c).read_all()
-        ids += t.column("id").to_pylist()
-        held += t.column("held_out").to_pylist()
-        texts += [x.encode().lower() for x in t.column("text").to_pylist()]
-    return ids, np.array(held, bool), texts
-
-
-def _grams_of(texts: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [], []
-    for lo, hi in batches_of(texts):
-        k, first, text = gram_runs(texts[lo:hi])
-        keys.append(k)
-        counts.append(np.add.reduceat(train[lo:hi][text].astype(np.int64), first))
-    return add_up(keys, counts)
+    n = 0
+    for chunk in chunks:
+        t = pa.ipc.open_stream(chunk.as_buffer()).read_all()
+        for i, h, x in zip(*(t.column(c).to_pylist() for c in ("id", "held_out", "text")), strict=True):
+            if texts and (n >= BATCH_BYTES or len(texts) >> TEXT_BITS):
+                yield ids, np.array(held, bool), texts
+                ids, held, texts, n = [], [], [], 0
+            ids.append(i)
+            held.append(h)
+            texts.append(x.encode().lower())
+            n += len(texts[-1])
+    if texts:
+        yield ids, np.array(held, bool), texts
 
 
 def _split(kind: str, block: int, bucket: np.ndarray, n: int, keys: np.ndarray, values: np.ndarray) -> list[tuple]:
@@ -362,13 +361,21 @@ def score_documents(docs: DataFrame, train_where: Column | None = None, id_col:
     blocks = _blocks(d, n)
 
     def count(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        _, held, texts = _open(t.column("chunk").to_pylist())
-        grams, counts = _grams_of(texts, ~held)
-        h = scramble(grams)
-        rows = _split("gram", key[0].as_py(), range_of(h, n), n, grams, counts.astype(np.uint32))
-        words, place, sizes = word_numbers(texts)
-        counts = np.bincount(place, weights=np.repeat(~held, sizes), minlength=len(words))
-        rows += _split("word", key[0].as_py(), range_of(words, n), n, words, counts.astype(np.uint32))
+        block = key[0].as_py()
+        grams, gram_counts, words, word_counts = [], [], Words(), np.zeros(0)
+        for _, held, texts in _batches(t.column("chunk")):
+            k, first, text = gram_runs(texts)
+            grams.append(k)
+            gram_counts.append(np.add.reduceat((~held)[text].astype(np.int64), first))
+            numbers, sizes = words.numbers(texts)
+            seen = np.bincount(numbers, weights=np.repeat(~held, sizes), minlength=len(words.known))
+            seen[: len(word_counts)] += word_counts
+            word_counts = seen
+        k, c = add_up(grams, gram_counts)
+        rows = _split("gram", block, range_of(scramble(k), n), n, k, c.astype(np.uint32))
+        k, c = add_up([words.hashes()], [word_counts.astype(np.int64)])
+        rows += _split("word", block, range_of(k, n), n, k, c.astype(np.uint32))
+        pa.default_memory_pool().release_unused()
         return _lists(rows)
 
     asked = materialize(blocks.groupBy("block").applyInArrow(count, TOKEN_LISTS), "asked")
@@ -432,7 +439,6 @@ def score_documents(docs: DataFrame, train_where: Column | None = None, id_col:
     floor = np.log10(n_train + n_types + 1)
 
     def score(key: tuple[pa.Scalar, ...], mine: pa.Table, got: pa.Table) -> pa.Table:
-        ids, held, texts = _open(mine.column("chunk").to_pylist())
         reply = {(k, b): x for k, b, x in zip(*(got.column(c).to_pylist() for c in ("kind", "bucket", "blob")), strict=True)}
 
         def in_order(kind: str, bucket: np.ndarray, dtype: type) -> np.ndarray:
@@ -441,22 +447,32 @@ def score_documents(docs: DataFrame, train_where: Column | None = None, id_col:
                 out[rows] = expand(reply[kind, i], dtype)
             return out
 
-        words, place, sizes = word_numbers(texts)
-        c = in_order("word", range_of(words, n), np.int64)[place]
-        text_of = np.repeat(np.arange(len(texts)), sizes)
-        known = np.bincount(text_of, weights=c > 0, minlength=len(texts)).astype(np.int64) + (ends > 0)
-        base = np.bincount(text_of, weights=np.log10(c + 1.0), minlength=len(texts)) + np.log10(ends + 1.0) - (sizes + 1) * floor
-        grams, _ = _grams_of(texts, ~held)
+        ids, held, sizes, numbers, grams, words = [], [], [], [], [], Words()
+        for some, h, texts in _batches(mine.column("chunk")):  # what was asked, again
+            ids += some
+            held.append(h)
+            grams.append(gram_runs(texts)[0])
+            each, size = words.numbers(texts)
+            numbers.append(each)
+            sizes.append(size)
+        grams = np.unique(np.concatenate(grams))
         logs = in_order("gram", range_of(scramble(grams), n), np.float32).astype(float)
-        total = np.zeros(len(texts))
-        for lo, hi in batches_of(texts):
-            k, first, text = gram_runs(texts[lo:hi])
+        distinct, place = np.unique(words.hashes(), return_inverse=True)
+        count_of = in_order("word", range_of(distinct, n), np.int64)[place]
+        known, base, total = [], [], []
+        for (_, _, texts), each, size in zip(_batches(mine.column("chunk")), numbers, sizes, strict=True):
+            c, text_of = count_of[each], np.repeat(np.arange(len(texts)), size)
+            known.append(np.bincount(text_of, weights=c > 0, minlength=len(texts)).astype(np.int64) + (ends > 0))
+            base.append(np.bincount(text_of, weights=np.log10(c + 1.0), minlength=len(texts)) + np.log10(ends + 1.0) - (size + 1) * floor)
+            k, first, text = gram_runs(texts)
             run = np.diff(first, append=len(text))
-            total[lo:hi] = np.bincount(text, weights=np.repeat(logs[np.searchsorted(grams, k)], run), minlength=hi - lo)
+            total.append(np.bincount(text, weights=np.repeat(logs[np.searchsorted(grams, k)], run), minlength=len(texts)))
+            total[-1] = np.stack([total[-1], [len(t) + 1 for t in texts]])
+        total = np.concatenate(total, axis=1)
+        pa.default_memory_pool().release_unused()
         return pa.table({
-            "id": pa.array(ids, pa.int64()), "held_out": held, "n_tokens": sizes + 1, "n_known": known,
-            "train_tokens": np.full(len(texts), n_train, np.int64), "base_score": base, "score": total,
-            "n_bytes": np.array([len(t) + 1 for t in texts], np.int64),
+            "id": pa.array(ids, pa.int64()), "held_out": np.concatenate(held), "n_tokens": np.concatenate(sizes) + 1, "n_known": np.concatenate(known),
+            "train_tokens": np.full(len(ids), n_train, np.int64), "base_score": np.concatenate(base), "score": total[0], "n_bytes": total[1].astype(np.int64),
         })
 
     out = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
