@@ -6,8 +6,9 @@ The sequence of identifiers of a text, repeats that follow one another merged, i
 left against an ordered list of rules, each a sequence of identifiers with optional parts; the first rule that fits at a place names the licence and
 consumes its identifiers. Identifiers no rule takes are reported as they are.
 
-A sentence can only be known if it has one of the stems of ``STEMS``; texts without any
-are passed over after a substring search, which changes no result.
+A sentence can only be known if it has one of the stems of ``STEMS``, words derived from the
+table so that each known sentence holds one; texts and sentences without any are passed over
+after a substring search, which changes no result.
 
 Defined results: a null or empty text has no sentences and no licence; repeated rows are
 scanned alike; sentences broken over lines are joined, a blank line ends one. A map without
@@ -19,15 +20,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quirework.llm.common import keyed_text, sliced
 
-# Stems of which every known sentence holds one.
-STEMS = ("licen", "copyright", "rights reserved", "warrant", "permission", "redistribut", "public domain", "liable", "liability", "attribution", "creative commons", "©", "(c)")
-
 # Identifier, and what the normalised sentence must hold.
 SENTENCES: tuple[tuple[str, str], ...] = (
     ("mit.grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -125,17 +124,48 @@ class Found:
     sentences: tuple[str, ...]
 
 
+def spelled(text: str) -> str:
+    return text.lower().replace("licence", "license")
+
+
 def normalise(sentence: str) -> str:
-    s = sentence.lower().replace("licence", "license")
-    s = re.sub(r"[^\w©]+", " ", s.replace("_", " "))
+    s = re.sub(r"[^\w©]+", " ", spelled(sentence).replace("_", " "))
     return s.strip()
 
 
+def _held(tree) -> set[str]:
+    """Words of which each match of a parsed pattern holds one: the longest to be had; {""} if there are none."""
+    choices, run = [], ""
+    for op, arg in [*tree, (None, None)]:
+        if op is _parser.LITERAL and (chr(arg).isalnum() or chr(arg) == "©"):
+            run += chr(arg)
+            continue
+        choices.append({run})
+        run = ""
+        if op is _parser.SUBPATTERN:
+            choices.append(_held(arg[-1]))
+        elif op is _parser.BRANCH:
+            choices.append(set().union(*map(_held, arg[1])))
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT, _parser.POSSESSIVE_REPEAT) and arg[0] > 0:
+            choices.append(_held(arg[2]))
+    return max(choices, key=lambda c: min(map(len, c)))
+
+
+def stems_of(sentences: Sequence[tuple[str, str]]) -> tuple[str, ...]:
+    """Words of which every sentence that a pattern knows holds one. Normalising keeps words whole,
+    so the text as ``spelled`` holds it too."""
+    words = set().union(*(_held(_parser.parse(p)) for _, p in sentences))
+    return tuple(sorted(w for w in words if not any(x != w and x in w for x in words)))
+
+
+STEMS = stems_of(SENTENCES)
+
+
 class Scanner:
-    def __init__(self, sentences: Sequence[tuple[str, str]] = SENTENCES, rules: Sequence[tuple[str, str]] = RULES, stems: Sequence[str] = STEMS):
+    def __init__(self, sentences: Sequence[tuple[str, str]] = SENTENCES, rules: Sequence[tuple[str, str]] = RULES, stems: Sequence[str] | None = None):
         self.sentences = [(k, re.compile(p)) for k, p in sentences]
         self.rules = [(name, [(x.removesuffix("?"), x.endswith("?")) for x in seq.split()]) for name, seq in rules]
-        self.stems = stems
+        self.stems = stems_of(sentences) if stems is None else stems
 
     def identify(self, text: str) -> list[tuple[str, int]]:
         """(identifier, number of the sentence) of the known sentences, in order.
@@ -144,12 +174,12 @@ class Scanner:
         version"): all count, in the order in which they stand in it, but of overlapping
         ones only that of the earlier table entry.
         """
-        low = text.lower()
+        low = spelled(text)
         if not any(s in low for s in self.stems):
             return []
         out: list[tuple[str, int]] = []
         for n, raw in enumerate(SENTENCE_END.split(COMMENT.sub("", text))):
-            low = (raw or "").lower()
+            low = spelled(raw)
             if not any(s in low for s in self.stems):
                 continue
             s, taken = normalise(raw), []

@@ -64,3 +64,79 @@ def test_long_runs_are_linear(run):
     began = time.time()
     S.identify("license " + run + "x")
     assert time.time() - began < 10
+
+
+EXAMPLES = {
+    "mit.grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
+    "mit.notice": "The above copyright notice and this permission notice shall be included.",
+    "asis.software": "The software is provided \"as is\", without warranty.",
+    "mit.liable": "In no event shall the authors or copyright holders be liable.",
+    "isc.grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "bsd.grant": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
+    "bsd.source": "Redistributions of source code must retain the above copyright notice.",
+    "bsd.binary": "Redistributions in binary form must reproduce the above copyright notice.",
+    "bsd.advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    "bsd.endorse": "Neither the name of X nor of others may be used to endorse or promote products.",
+    "bsd.asis": "This software is provided by X \"as is\" and any express or implied warranties are disclaimed.",
+    "bsd.liable": "In no event shall X be liable for any direct, indirect, incidental, special, exemplary, or consequential damages.",
+    "apache.2.ref": "Licenced under Apache License 2.0.",
+    "apache.2.name": "Apache Licence, Version 2.0",
+    "apache.comply": "You may not use this file except in compliance with the License.",
+    "apache.obtain": "You may obtain a copy of the License at x.",
+    "apache.asis": "Distributed under the License is distributed on an \"AS IS\" basis.",
+    "apache.see": "See the License for the specific language governing permissions and limitations.",
+    "agpl.3.ref": "GNU Affero General Public License v3",
+    "lgpl.3.ref": "GNU Lesser General Public License version 3",
+    "lgpl.2.ref": "GNU Library General Public License v2",
+    "gpl.3.ref": "GNU General Public License v3",
+    "gpl.2.ref": "GNU General Public License v2",
+    "gpl.ref": "GNU General Public License",
+    "gpl.hope": "Distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY.",
+    "gpl.copy": "You should have received a copy of the GNU thing.",
+    "gpl.later": "Or (at your option) any later version.",
+    "mpl.2.ref": "Mozilla Public License v2",
+    "mit.ref": "Released under the MIT License.",
+    "bsd.ref": "Released under a BSD-style license.",
+    "isc.ref": "Released under the ISC license.",
+    "cc.zero": "Released as CC0.",
+    "cc.by.nc.nd": "It is CC BY-NC-ND 4.0.",
+    "cc.by.nc.sa": "It is CC BY-NC-SA 4.0.",
+    "cc.by.nc": "It is CC BY-NC 4.0.",
+    "cc.by.nd": "It is CC BY-ND 4.0.",
+    "cc.by.sa": "The data set is CC BY-SA 4.0.",
+    "cc.by": "It is CC BY 4.0.",
+    "unlicense": "This is free and unencumbered software released into the public\ndomain.",
+    "public.domain": "It is in the public-domain.",
+    "reserved": "All rights\nreserved.",
+    "no.copying": "No part of this book may be reproduced in any form.",
+    "copyright": "© 2020 X",
+}
+
+
+def test_every_sentence_passes_the_gate():
+    plain = Scanner(stems=("",))
+    assert EXAMPLES.keys() == {k for k, _ in SENTENCES}
+    for key, text in EXAMPLES.items():
+        for x in (text, f"Some prose.\n\n{text}"):
+            found = S.identify(x)
+            assert key in [k for k, _ in found] and found == plain.identify(x), key
+
+
+def test_stems_come_from_the_table():
+    assert "" not in STEMS
+    assert [k for k, _ in Scanner([("x", r"(?:ab|c) (?:quux|corge)\w+ ?")]).identify("c corges")] == ["x"]
+    assert [k for k, _ in Scanner([("x", r"\d+")]).identify("12")] == ["x"]
+
+
+def test_bsd_4_clause():
+    bsd = (
+        "Copyright (c) 1990 X\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+        "the following conditions are met:\n1. Redistributions of source code must retain the above copyright\n   notice.\n2. Redistributions in binary form must reproduce "
+        "the above copyright\n   notice.\n3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n"
+        "   This product includes software developed by X.\n4. Neither the name of X nor the names of its contributors may be used to endorse or promote products\n"
+        "   derived from it.\n\nTHIS SOFTWARE IS PROVIDED BY X ``AS IS'' AND ANY EXPRESS OR IMPLIED\nWARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL X BE LIABLE FOR ANY\n"
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES.\n"
+    )
+    assert names(bsd) == ["BSD-4-Clause"]
+    assert names("Released as CC0.") == ["CC0-1.0"] and names("The data set is CC BY-SA 4.0.") == ["CC-BY-SA"]
+    assert names("All rights reserved. No part of this book may be reproduced.") == ["Proprietary"]
