@@ -44,14 +44,16 @@ SENSITIVE = {
 SENSITIVE_NAME = re.compile("|".join(map(re.escape, SENSITIVE)))
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|changeme|change_me|example|placeholder|todo|none|null|true|false|undefined|your[-_ ].*|<.*>|\$\{.*\}|\$\(.*\)|%\(.*\)s|\{\{.*\}\})$")
 
-# names are possessive and start where no name goes on before, so long runs stay linear
+# names are possessive, and a name without a value is taken whole (``run``), so long runs stay linear
 NAME = r"[A-Za-z_$][\w$]*+(?:(?:\.|->|::)[A-Za-z_$][\w$]*+|\[\s{0,8}[\"'][^\"'\n]{1,80}[\"']\s{0,8}\]|-[A-Za-z][\w$]*+)*+"
 LITERAL = r"\"(?:[^\"\\\n]|\\.){0,4096}\"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`"
 PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?<![\w$.\-])(?P<name>{NAME})(?P=q)\s{{0,8}}(?::=|=>|=(?!=)|:(?!:))[ \t]{{0,8}}(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]{{0,8}}\+[ \t]{{0,8}}(?:{LITERAL}|{NAME}))*|[^\s\"'`,;#<>(){{}}\[\]]+)"
-    rf"|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<body>[^<>\n]{{1,4096}})</(?P=tag)>",
+    rf"(?P<q>[\"']?)(?P<name>{NAME})(?P=q)\s{{0,8}}(?::=|=>|=(?!=)|:(?!:))[ \t]{{0,8}}(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]{{0,8}}\+[ \t]{{0,8}}(?:{LITERAL}|{NAME}))*|[^\s\"'`,;#<>(){{}}\[\]]+)"
+    rf"|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<body>[^<>\n]{{1,4096}})</(?P=tag)>"
+    rf"|(?P<run>{NAME})",
     re.ASCII,
 )
+INDEX = re.compile(r"\[\s{0,8}[\"']([^\"'\n]{1,80})[\"']\s{0,8}\]")
 PART = re.compile(rf"(?P<literal>{LITERAL})|(?P<name>{NAME})", re.ASCII)
 
 
@@ -79,10 +81,21 @@ def pattern_spans(text: str) -> list[Span]:
     return spans
 
 
+def matches(text: str) -> Iterator[re.Match]:
+    """The matches of ``PAIR`` that are pairs. A later start in a run reaches the same end, so only
+    the strings of its indices can hold other pairs."""
+    for m in PAIR.finditer(text):
+        if not m["run"]:
+            yield m
+        elif "[" in m["run"]:
+            for i in INDEX.finditer(text, *m.span()):
+                yield from (x for x in PAIR.finditer(text, *i.span(1)) if not x["run"])
+
+
 def lex_pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
     """(name, the literals that make up its value) in order, constants already propagated."""
     known: dict[str, list[Literal]] = {}
-    for m in PAIR.finditer(text):
+    for m in matches(text):
         if m["tag"]:
             name, value = m["tag"], [Literal(m["body"], m.start("body"), m.end("body"))]
         else:

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quirework.llm.secretscan import lex_pairs, pattern_spans, redact, redact_documents, scan_documents, scan_text
+from quirework.llm.secretscan import lex_pairs, matches, pattern_spans, redact, redact_documents, scan_documents, scan_text
 
 KEY = "q8Zr2LmP0xWv7TnB"
 
@@ -85,3 +85,37 @@ def test_long_runs_are_linear(run):
     began = time.time()
     scan_text("secret password " + run)
     assert time.time() - began < 10
+
+
+@pytest.mark.parametrize("text", [
+    f"mysql --db-pwd={KEY}", f"--auth-credential={KEY} -v", f'.passphrase = "{KEY}",', f'hosts[0].db_pwd = "{KEY}"', f"conn().private_key = '{KEY}'",
+    f"f()->db_pwd = '{KEY}'", f"env-2.db_pwd = '{KEY}'", f"10.db_pwd = '{KEY}'", f"3db_pwd = '{KEY}'", f"args['--db-pwd={KEY}']",
+])
+def test_names_start_after_punctuation(text):
+    assert [text[s.start : s.end] for s in scan_text(text)] == [KEY]
+
+
+# names that may start anywhere and be given up piece by piece
+FREE_NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::)[A-Za-z_$][\w$]*|\[\s*[\"'][^\"'\n]+[\"']\s*\]|-[A-Za-z][\w$]*)*"
+FREE_LITERAL = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
+FREE = re.compile(
+    rf"(?P<q>[\"']?)(?P<name>{FREE_NAME})(?P=q)\s*(?::=|=>|=(?!=)|:(?!:))[ \t]*(?P<value>(?:{FREE_LITERAL}|{FREE_NAME})(?:[ \t]*\+[ \t]*(?:{FREE_LITERAL}|{FREE_NAME}))*|[^\s\"'`,;#<>(){{}}\[\]]+)"
+    r"|<(?P<tag>[A-Za-z_][\w.-]*)>(?P<body>[^<>\n]+)</(?P=tag)>",
+    re.ASCII,
+)
+SYNTAX = st.sampled_from(["a", "pwd", "3", ".", "-", "--", "->", "::", ":", "=", "==", "[0]", "['x']", '["pwd=ab"]', "[", "]", "()", '"', "'", "'k'", '"v w"', "`", " ", "\n", "+", " + ", "\\", "<a>", "</a>", "é", "$"])
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(SYNTAX, max_size=14).map("".join))
+def test_pairs_equal_names_that_start_anywhere(text):
+    assert [[m.span(g) for g in ("name", "value", "tag", "body")] for m in matches(text)] == [[m.span(g) for g in ("name", "value", "tag", "body")] for m in FREE.finditer(text)]
+
+
+@pytest.mark.parametrize("run", ["a->" * 70_000, "a::" * 70_000, "a['x']." * 30_000, "a['x']->" * 30_000, "['x']" * 40_000, "1.a" * 70_000, "--a" * 70_000, "].a" * 70_000, ").a-" * 50_000])
+def test_runs_of_names_are_linear(run):
+    import time
+
+    began = time.time()
+    scan_text("secret password " + run)
+    assert time.time() - began < 10
