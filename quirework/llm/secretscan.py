@@ -45,15 +45,15 @@ SENSITIVE_NAME = re.compile("|".join(map(re.escape, SENSITIVE)))
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|changeme|change_me|example|placeholder|todo|none|null|true|false|undefined|your[-_ ].*|<.*>|\$\{.*\}|\$\(.*\)|%\(.*\)s|\{\{.*\}\})$")
 
 # names are possessive, and a name without a value is taken whole (``run``), so long runs stay linear
-NAME = r"[A-Za-z_$][\w$]*+(?:(?:\.|->|::)[A-Za-z_$][\w$]*+|\[\s{0,8}[\"'][^\"'\n]{1,80}[\"']\s{0,8}\]|-[A-Za-z][\w$]*+)*+"
-LITERAL = r"\"(?:[^\"\\\n]|\\.){0,4096}\"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`"
+INDEX = re.compile(r"\[\s*+[\"']([^\"'\n]++)[\"']\s*+\]")
+NAME = r"[A-Za-z_$][\w$]*+(?:(?:\.|->|::)[A-Za-z_$][\w$]*+|\[\s*+[\"'][^\"'\n]++[\"']\s*+\]|-[A-Za-z][\w$]*+)*+"
+LITERAL = r"\"[^\"\\\n]*+(?:\\.[^\"\\\n]*+)*+\"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|`[^`\n]*+`"
 PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?P<name>{NAME})(?P=q)\s{{0,8}}(?::=|=>|=(?!=)|:(?!:))[ \t]{{0,8}}(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]{{0,8}}\+[ \t]{{0,8}}(?:{LITERAL}|{NAME}))*|[^\s\"'`,;#<>(){{}}\[\]]+)"
-    rf"|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<body>[^<>\n]{{1,4096}})</(?P=tag)>"
+    rf"(?P<q>[\"']?)(?P<name>{NAME})(?P=q)\s*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]*+\+[ \t]*+(?:{LITERAL}|{NAME}))*+|[^\s\"'`,;#<>(){{}}\[\]]+)"
+    rf"|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<body>[^<>\n]++)</(?P=tag)>"
     rf"|(?P<run>{NAME})",
     re.ASCII,
 )
-INDEX = re.compile(r"\[\s{0,8}[\"']([^\"'\n]{1,80})[\"']\s{0,8}\]")
 PART = re.compile(rf"(?P<literal>{LITERAL})|(?P<name>{NAME})", re.ASCII)
 
 
@@ -92,10 +92,10 @@ def matches(text: str) -> Iterator[re.Match]:
                 yield from (x for x in PAIR.finditer(text, *i.span(1)) if not x["run"])
 
 
-def lex_pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
-    """(name, the literals that make up its value) in order, constants already propagated."""
-    known: dict[str, list[Literal]] = {}
-    for m in matches(text):
+def assignments(text: str) -> Iterator[tuple[str, list[Literal | int]]]:
+    """(name, the parts of its value) in order: literals, and the numbers of earlier pairs for the constants they set."""
+    known: dict[str, int] = {}
+    for n, m in enumerate(matches(text)):
         if m["tag"]:
             name, value = m["tag"], [Literal(m["body"], m.start("body"), m.end("body"))]
         else:
@@ -107,23 +107,34 @@ def lex_pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
                     if p["literal"]:
                         value.append(Literal(p[0][1:-1], at + p.start() + 1, at + p.end() - 1))
                     elif p[0] in known:
-                        value += known[p[0]]
+                        value.append(known[p[0]])
                     elif len(parts) == 1:
                         value.append(Literal(p[0], at + p.start(), at + p.end()))
             else:
                 value.append(Literal(raw, at, at + len(raw)))
-        known[name] = value[:8]
+        known[name] = n
         yield name, value
 
 
+def lex_pairs(text: str) -> Iterator[tuple[str, list[Literal]]]:
+    """(name, the literals that make up its value, each once) in order, constants already propagated."""
+    values: list[list[Literal]] = []
+    for name, parts in assignments(text):
+        values.append(list(dict.fromkeys(x for p in parts for x in (values[p] if isinstance(p, int) else [p]))))
+        yield name, values[-1]
+
+
 def entropy(s: str) -> float:
     return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values()) if s else 0.0
 
 
-def score(name: str, literal: str) -> float:
-    """Between 0 and about 1.2: the name's sensitivity plus what the literal looks like."""
+def weight(name: str) -> float:
     low = name.lower()
-    sensitive = max((w for k, w in SENSITIVE.items() if k in low), default=0.0)
+    return max((w for k, w in SENSITIVE.items() if k in low), default=0.0)
+
+
+def score(sensitive: float, literal: str) -> float:
+    """Between 0 and about 1.2: the weight of its name plus what the literal looks like."""
     if not sensitive or len(literal) < 8 or " " in literal or PLACEHOLDER.match(literal):
         return 0.0
     classes = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
@@ -136,9 +147,14 @@ def scan_text(text: str, threshold: float = 0.8) -> list[Span]:
     if SENSITIVE_NAME.search(text.lower()):
         taken = sorted((s.start, s.end) for s in spans)
         lexed = set()
-        for name, value in lex_pairs(text):
-            for x in value:
-                if score(name, x.text) >= threshold and not any(a < x.end and x.start < b for a, b in taken):
+        pairs = list(assignments(text))
+        weights = [weight(name) for name, _ in pairs]
+        # names only use earlier pairs: from the last on, each pair's weight is whole when it is handed on
+        for n in range(len(pairs) - 1, -1, -1):
+            for x in pairs[n][1]:
+                if isinstance(x, int):
+                    weights[x] = max(weights[x], weights[n])
+                elif score(weights[n], x.text) >= threshold and not any(a < x.end and x.start < b for a, b in taken):
                     lexed.add(Span("lexed", x.start, x.end))
         spans += lexed
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))

@@ -119,3 +119,34 @@ def test_runs_of_names_are_linear(run):
     began = time.time()
     scan_text("secret password " + run)
     assert time.time() - began < 10
+
+
+LONG = KEY * 600
+
+
+@pytest.mark.parametrize("text", [
+    f'db_pwd{" " * 12}= "{KEY}"', f"private_key:{' ' * 10}{KEY}", f"db_pwd ={chr(9) * 30}'{KEY}'", f"cfg[{' ' * 9}'db_pwd'{' ' * 9}] = '{KEY}'", f"cfg['{'x' * 90}'].db_pwd = '{KEY}'",
+    f'private_key = "{LONG}"', f"credential: '{LONG}'", f"auth_blob = `{LONG}`", f"<passphrase>{LONG}</passphrase>",
+])
+def test_blanks_and_lengths_have_no_limit(text):
+    assert [text[s.start : s.end] for s in scan_text(text) if s.kind == "lexed"] in ([KEY], [LONG])
+
+
+def test_all_literals_of_a_constant_count():
+    keys = [f"{KEY}{i:02}" for i in range(30)]
+    for text in ("A = " + " + ".join(f"'{k}'" for k in keys) + "\nB = A\nclient_credential = B", "A = 'x'\n" + "\n".join(f"A = A{' ' * 9}+{' ' * 9}'{k}'" for k in keys) + "\nclient_credential = A"):
+        assert [text[s.start : s.end] for s in scan_text(text)] == keys
+        assert {x.text for x in list(lex_pairs(text))[-1][1]} >= set(keys)
+
+
+@pytest.mark.parametrize("text", [
+    f"a0 = '{KEY}'\n" + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(3000)) + "db_pwd = a3000",
+    f"db_pwd = '{KEY}'\n" + f"db_pwd = db_pwd + '{KEY}'\n" * 10_000,
+    "a" + " " * 200_000 + "a =" + " " * 200_000, "a[" * 100_000, 'a["' * 70_000, "pwd='" + "\\'" * 100_000, "<a>" * 70_000, "'a' + " * 50_000, "x = " + "'a' + " * 50_000,
+])
+def test_unbounded_lexing_is_linear(text):
+    import time
+
+    began = time.time()
+    assert ("lexed" in {s.kind for s in scan_text("secret password\n" + text)}) == (KEY in text)
+    assert time.time() - began < 10
