@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quirework.llm.common import materialize
 from quirework.llm.hostrules import filter_documents
 from quirework.llm.minhash import deduplicate
-from quirework.llm.packing import pack_documents
+from quirework.llm.packing import added_tokens, pack_documents
 from quirework.llm.secretscan import redact_documents
 
 
@@ -39,7 +39,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of at most 1024 tokens."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return pack_documents(docs, path, public_tokenizers.PATTERN, size=1024).withColumnRenamed("id", "doc_id")
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, path, public_tokenizers.PATTERN, added, size=1024).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -13,6 +13,10 @@ A partition is packed alone, in groups of bounded size: no shuffle and bounded m
 any scale. ``sequence_id`` is the partition's number times 2^32 plus a counter, so a task
 that is run again gives the same rows.
 
+Ids are those the ``tokenizers`` library gives by default for the vocabulary's JSON file: the
+strings of its added tokens are one id each, found leftmost and longest, and what lies between
+them is encoded by the ranks of the same vocabulary.
+
 Defined results: a null text counts as empty and still has its separator; a repeated row is
 packed as a document of its own; an empty table gives no pieces.
 """
@@ -20,8 +24,10 @@ packed as a document of its own; an empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +40,34 @@ from quirework.llm.common import keyed_text, sliced
 SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 
 
-def rank_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
-    """Text to ids by a rank file; strings of special tokens are ordinary text."""
+def added_tokens(json_path: str) -> dict[str, int]:
+    """String to id of the added tokens of a vocabulary's JSON file, which match as they stand."""
+    with open(json_path, encoding="utf-8") as f:
+        found = json.load(f).get("added_tokens") or []
+    for t in found:
+        if any(t.get(k) for k in ("lstrip", "rstrip", "single_word", "normalized")):
+            raise ValueError(f"added token {t['content']!r} doesn't match as it stands")
+    return {t["content"]: t["id"] for t in found}
+
+
+def rank_encoder(path: str, pattern: str, added: Mapping[str, int] | None = None) -> Callable[[str], list[int]]:
+    """Text to ids by a rank file; the strings of ``added`` are single ids, found leftmost and longest."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    plain = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    if not added:
+        return plain
+    split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def encode(text: str) -> list[int]:
+        parts = split(text)
+        ids = plain(parts[0])
+        for token, rest in zip(parts[1::2], parts[2::2], strict=True):
+            ids.append(added[token])
+            ids += plain(rest)
+        return ids
+
+    return encode
 
 
 def powers_of_two(n: int) -> list[int]:
@@ -123,15 +152,16 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
-def pack_documents(docs: DataFrame, path: str, pattern: str, size: int = 1024, separator: int = 0, linear: float = 1.0, quadratic: float = 1.0 / 512, group_tokens: int = 1 << 19, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: where it lies in its document and in its sequence.
+def pack_documents(docs: DataFrame, path: str, pattern: str, added: Mapping[str, int] | None = None, size: int = 1024, separator: int = 0, linear: float = 1.0, quadratic: float = 1.0 / 512, group_tokens: int = 1 << 19, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece: where it lies in its document and in its sequence. ``added``: strings
+    that are one id each (see :func:`added_tokens`).
 
     ``group_tokens`` bounds the tokens that are balanced against each other and so the
     memory of a task; it drops nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = rank_encoder(path, pattern)
+        encode = rank_encoder(path, pattern, added)
         packer = Packer(TaskContext.get().partitionId() << 32, size, linear, quadratic)
         for b in sliced(batches, 64):
             for key, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):

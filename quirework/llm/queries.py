@@ -20,11 +20,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quirework.llm.packing import pack_documents
+    from quirework.llm.packing import added_tokens, pack_documents
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    # the rank file holds the vocabulary of byte_bpe_50k.json and gives the same ids
-    out = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, size=1024)
+    # the rank file holds the vocabulary of byte_bpe_50k.json and, with its added tokens, gives the same ids
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    out = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added, size=1024)
     return out.withColumnRenamed("id", "doc_id")
 
 

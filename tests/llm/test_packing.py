@@ -5,21 +5,28 @@ import numpy as np
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from quirework.llm.packing import Packer, balance, pack_documents, powers_of_two, rank_encoder
+from quirework.llm.packing import Packer, added_tokens, balance, pack_documents, powers_of_two, rank_encoder
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
+LIBRARY = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
 RANKS = P.path("byte_bpe_50k.tiktoken")
+ADDED = added_tokens(P.path("byte_bpe_50k.json"))
+PIECES = st.lists(st.one_of(st.text(max_size=20), st.sampled_from([*ADDED, "<|endoftext|", "|>", "<|", " "])), max_size=8)
+ENCODE = rank_encoder(RANKS, P.PATTERN, ADDED)
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=80))
+@given(PIECES.map("".join))
 def test_ranks_give_the_ids_of_the_tokenizers_file(text):
-    from tokenizers import Tokenizer
+    assert ENCODE(text) == LIBRARY.encode(text, add_special_tokens=False).ids
 
-    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    assert rank_encoder(RANKS, P.PATTERN)(text) == t.encode(text, add_special_tokens=False).ids
+
+def test_added_tokens_are_one_id():
+    text = "a <|endoftext|><|endoftext|> b<|endoftext|"
+    assert ENCODE(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert ENCODE(text).count(50256) == 2
 
 
 @settings(max_examples=200, deadline=None)
@@ -41,7 +48,7 @@ def test_whole_pieces_go_to_the_cheapest_sequence():
 
 
 def check(rows, docs):
-    encode = rank_encoder(RANKS, P.PATTERN)
+    encode = ENCODE
     by_seq, by_doc = {}, {}
     for r in rows:
         by_seq.setdefault(r.sequence_id, []).append(r)
@@ -65,7 +72,7 @@ def check(rows, docs):
 def test_odd_rows(odd_docs, no_docs):
     docs = odd_docs.select("doc_id", "text").collect()
     for group in (64, 1 << 19):
-        check(pack_documents(odd_docs.coalesce(2), RANKS, P.PATTERN, group_tokens=group).collect(), docs)
+        check(pack_documents(odd_docs.coalesce(2), RANKS, P.PATTERN, ADDED, group_tokens=group).collect(), docs)
     assert pack_documents(no_docs, RANKS, P.PATTERN).count() == 0
 
 
