@@ -1,18 +1,22 @@
 """Byte-level BPE encoding and decoding as a monoid tree reduction.
 
-A text is cut into halves until a part is at most ``leaf`` characters; a leaf is encoded
-by itself, and neighbours are joined up the tree. Joining re-encodes a window around the
+A text is cut into halves until a part is at most ``leaf`` characters, a few words; a leaf is
+encoded by itself, and neighbours are joined up the tree. Joining re-encodes a window around the
 cut. The window grows, doubling, until both its ends lie on *stable* positions: places
 where the split pattern must break whatever stands around them, so the tokens outside
 cannot change. Such a place is (a) a white-space character after one that is none, or (b)
 a change of class out of letters or digits (letter to digit, digit to letter, letter or
 digit to other). The pattern's alternatives never span either, and none of them looks back,
 so what was encoded before and after such a place stays as it is. Without a stable place
-the window reaches the end of the part, and its tokens are simply encoded anew. Decoding
-concatenates byte strings up the same kind of tree.
+the window reaches the end of the part, and its tokens are simply encoded anew. A join checks that
+the tokens it keeps end on the window's edges, and fails if they don't. Decoding concatenates
+byte strings up the same kind of tree.
+
+The argument holds for ``PROVEN`` alone; for another pattern the caller names its stable places.
 
 Defined results: a null text counts as empty and has no ids; strings of special tokens are
-ordinary text; repeated rows are encoded alike. A map without any shuffle.
+ordinary text; repeated rows are encoded alike; an empty table gives no rows. A map without
+any shuffle.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from pyspark.sql import DataFrame
 
 from quirework.llm.common import keyed_text, sliced
 
+#: The split pattern that the argument above is about.
+PROVEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Positions that are stable as explained above: lookbehind on the last character of a run.
 STABLE = r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])"
 
@@ -36,7 +42,9 @@ STABLE = r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])"
 class TreeBPE:
     """Encoder and decoder over the ranks of one vocabulary file."""
 
-    def __init__(self, path: str, pattern: str, leaf: int = 4096, window: int = 64):
+    def __init__(self, path: str, pattern: str, leaf: int = 64, window: int = 16, stable: str | None = None):
+        if stable is None and pattern != PROVEN:
+            raise ValueError("name the stable places of this pattern")
         ranks = {}
         with open(path, "rb") as f:
             for line in f:
@@ -46,8 +54,10 @@ class TreeBPE:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.stable = regex.compile(STABLE)
-        self.leaf, self.window = max(2, leaf), max(1, window)
+        self.stable = regex.compile(STABLE if stable is None else stable)
+        self.stable_back = regex.compile(f"(?r)(?:{self.stable.pattern})")
+        self.size_of = list(map(len, self.bytes_of))
+        self.leaf, self.window, self.joins = max(2, leaf), max(1, window), 0
 
     def encode(self, text: str) -> list[int]:
         return self._encode(text, 0, len(text))
@@ -59,21 +69,25 @@ class TreeBPE:
         return self._join(text, lo, mid, hi, self._encode(text, lo, mid), self._encode(text, mid, hi))
 
     def _join(self, text: str, lo: int, mid: int, hi: int, left: list[int], right: list[int]) -> list[int]:
+        self.joins += 1
         a, b = self._edge_left(text, lo, mid), self._edge_right(text, mid, hi)
-        keep = len(left) - self._count(reversed(left), len(text[a:mid].encode()))
-        drop = self._count(iter(right), len(text[mid:b].encode()))
+        keep = len(left) - self._count(left, -1, len(text[a:mid].encode()))
+        drop = self._count(right, 1, len(text[mid:b].encode()))
         window = self.core.encode_ordinary(text[a:b])
         del left[keep:]
         left += window
         left += right[drop:] if drop else right
         return left
 
-    def _count(self, ids: Iterator[int], size: int) -> int:
-        """How many of these tokens make up ``size`` bytes."""
-        n = 0
+    def _count(self, ids: list[int], step: int, size: int) -> int:
+        """How many tokens, from the first on or (step -1) from the last back, make up exactly ``size`` bytes."""
+        n, at = 0, 0 if step > 0 else -1
         while size > 0:
-            size -= len(self.bytes_of[next(ids)])
+            size -= self.size_of[ids[at]]
+            at += step
             n += 1
+        if size:
+            raise RuntimeError("a token spans a place that should be stable")
         return n
 
     def _edge_left(self, text: str, lo: int, mid: int) -> int:
@@ -81,10 +95,10 @@ class TreeBPE:
         w = self.window
         while True:
             start = max(lo, mid - w)
-            # positions right at the window's start need a character before them
-            found = [m.start() for m in self.stable.finditer(text, start, mid) if m.start() > lo]
-            if found:
-                return found[-1]
+            # a place at the window's start is known by the character before it
+            m = self.stable_back.search(text, start, mid)
+            if m is not None and m.start() > lo:
+                return m.start()
             if start == lo:
                 return lo
             w *= 2
@@ -94,7 +108,7 @@ class TreeBPE:
         w = self.window
         while True:
             end = min(hi, mid + w)
-            m = next((m for m in self.stable.finditer(text, mid, end) if m.start() > mid), None)
+            m = self.stable.search(text, mid + 1, end)
             if m is not None:
                 return m.start()
             if end == hi:
@@ -103,14 +117,14 @@ class TreeBPE:
 
     def decode(self, ids: list[int]) -> bytes:
         """Concatenation up the tree; any cut of a token sequence will do."""
-        if len(ids) <= self.leaf:
+        if len(ids) <= 4096:
             table = self.bytes_of
             return b"".join([table[i] for i in ids])
         mid = len(ids) // 2
         return self.decode(ids[:mid]) + self.decode(ids[mid:])
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = 4096) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = 64) -> DataFrame:
     """(id, ids array<int>) of each row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +136,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     return keyed_text(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str, leaf: int = 4096) -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str, pattern: str, leaf: int = 64) -> DataFrame:
     """(id, bytes) from (id, ids); a null list decodes to no bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +148,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, leaf: int = 40
     return encoded.select("id", "ids").mapInArrow(run, "id long, bytes binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = 4096) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = 64) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids, in one pass.
 
     ``ids_sha256`` is over the ids as little-endian unsigned 32-bit integers.

@@ -1,10 +1,11 @@
 import hashlib
 
 import public_tokenizers as P
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quirework.llm.bpe import TreeBPE, decode_documents, encode_documents, round_trip
+from quirework.llm.bpe import PROVEN, TreeBPE, decode_documents, encode_documents, round_trip
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 SMALL = TreeBPE(PATH, P.PATTERN, leaf=6, window=1)
@@ -40,3 +41,20 @@ def test_encode_then_decode(odd_docs):
     back = {r.id: bytes(r.bytes) for r in decode_documents(enc, PATH, P.PATTERN).collect()}
     assert back[3] == back[4] == b""
     assert back[9].decode().startswith("Émigré")
+
+
+def test_the_tree_decides_ordinary_texts():
+    bpe = TreeBPE(PATH, P.PATTERN)
+    text = "an ordinary text of some words, with 12 numbers and (marks) in it. " * 15
+    assert bpe.encode(text) == bpe.core.encode_ordinary(text)
+    assert bpe.joins >= len(text) // 64 - 1
+    assert P.PATTERN == PROVEN
+
+
+def test_a_wrong_edge_fails_loudly():
+    bpe = TreeBPE(PATH, P.PATTERN, leaf=8, window=2, stable="(?<=[a-z])(?=[a-z])")
+    with pytest.raises(RuntimeError):
+        for n in range(9, 40):
+            bpe.encode("international understanding and misinterpretations"[:n])
+    with pytest.raises(ValueError):
+        TreeBPE(PATH, r"\S+|\s+")
