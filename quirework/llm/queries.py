@@ -41,7 +41,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch_dir(spark, "warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, min_revisit=100)
-    page = lambda c: F.substring_index(c, ":", -1).cast("long")
+    page = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("null")).cast("long")
     records = read_archives(spark, path, with_payload=False).where(F.col("record_id").startswith(RECORD_ID))
     return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
