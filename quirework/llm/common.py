@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quirework.sources.scratch import materialize, scratch_dir
 
-__all__ = ["arrow_map", "keyed_text", "materialize", "scratch_dir", "sliced"]
+__all__ = ["arrow_map", "free_name", "keyed_text", "materialize", "salted_join", "scratch_dir", "sliced"]
 
 #: Rows that the Python side of an operator handles at once; long texts come in small slices.
 SLICE_ROWS = 512
@@ -44,3 +44,27 @@ def arrow_map(df: DataFrame, per_slice: Callable[[pa.RecordBatch], pa.RecordBatc
             yield per_slice(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, key: str, count: str, total: int, hot: int = 1000, most: int = 100_000) -> DataFrame:
+    """``rows`` joined with ``facts``, which has one row a key and in ``count`` how many rows have it.
+
+    A key of more than ``hot`` rows (or ``total / most``, if that is more) is dealt to as many
+    parts as it takes, its facts being copied to each. As the counts add up to ``total`` at most,
+    there are at most ``most`` such keys, and their list is broadcast.
+    """
+    least = max(hot, -(-total // most))
+    parts = F.ceil(F.col(count) / least).cast("int")
+    many = facts.where(F.col(count) > least).select(key, parts.alias("_parts"))
+    left = rows.join(F.broadcast(many), key, "left")
+    left = left.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    right = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    return left.join(right, [key, "_part"]).drop("_part")

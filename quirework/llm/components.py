@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 Both steps are an aggregation (the smallest neighbour, combined map-side) and a join back,
-over edges that are written to the shared folder after each round. Only two numbers a round
-come to the driver: the count and a hash of the edges, to see when they rest.
+over edges that are written to the shared folder after each round; the join deals a vertex
+with very many neighbours to several tasks. A few numbers a round come to the driver.
 """
 
 from __future__ import annotations
@@ -10,35 +10,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.common import materialize
+from quirework.llm.common import materialize, salted_join
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _with_least(e: DataFrame, total: int, hot: int) -> DataFrame:
+    """(u, v, m): each edge with the smallest neighbour of its u."""
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    return salted_join(e, least, "u", "n", total, hot).select("u", "v", "m")
+
+
+def _large_star(e: DataFrame, total: int, hot: int) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    moved = _with_least(both, 2 * total, hot).select("u", "v", F.least("u", "m").alias("m"))
+    return moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+
+
+def _small_star(e: DataFrame, total: int, hot: int) -> DataFrame:
+    joined = _with_least(e, total, hot)
+    moved = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(joined.where("v = m").select("u", "v")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+def _at_rest(e: DataFrame) -> bool:
+    """Whether all edges form stars: no vertex has two roots, and no root has one."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("root"))
+    ends = ends.unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("child"), F.lit(1).alias("root")))
+    seen = ends.groupBy("x").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
+    return seen.where("child > 1 OR (child = 1 AND root = 1)").isEmpty()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, hot: int = 50_000) -> DataFrame:
     """(id, component) of each vertex of the edges, component: the smallest id it reaches.
 
-    A vertex that is alone, or only linked with itself, gives no row. Nulls give none.
+    A vertex that is alone, or only linked with itself, gives no row. Nulls give none, and no
+    edges no rows. Edges of earlier components may be given as (id, component) pairs, which
+    are stars already. ``hot``: the neighbours from which on a vertex is dealt to several tasks.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("x"), F.col(b).alias("y"))
     e = materialize(e.where("x <> y").select("u", "v").distinct(), "edges")
-    seen = None
     for _ in range(max_rounds):
-        state = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if state == seen or not state[0]:
+        if _at_rest(e):
             break
-        seen = state
-        e = materialize(_small_star(_large_star(e)), "edges")
+        total = e.count()  # never grows from round to round
+        e = materialize(_small_star(_large_star(e, total, hot), total, hot), "edges")
     else:
         raise RuntimeError(f"components did not rest after {max_rounds} rounds")
     # at rest every vertex points at the root of its star

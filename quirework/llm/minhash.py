@@ -9,21 +9,28 @@
    its smallest id, so a bucket of n gives n - 1 candidates, never all of its pairs.
 4. Candidates are checked on signatures (with a margin of four standard deviations: a link is
    lost there with probability 3e-5 at most), then exactly on the full shingle sets.
-5. Large-star/small-star components. What a pivot can't decide is finished exactly, in the
-   buckets which still hold more than one component. First, in a few rounds, each member outside
-   of the largest component offers its two most similar partners of others, which is linear
-   in the bucket and joins what hangs together; then all pairs of different components that
-   are left and agree on signatures are checked on sets where they meet, in blocks of bounded
-   size, and only links leave the task.
+5. Large-star/small-star components over the links.
+6. What a pivot can't decide lies in buckets that still hold more than one component. Their
+   members meet by an exact prefix filter: of a set of n shingles in an order from rare to
+   frequent, one of the first n - ceil(0.8 n) + 1 is among those of each partner. A shingle
+   that at most ``rare`` members have there gives their pairs, so a row gives at most ``rare`` of
+   them, whatever the size of its bucket; they are checked like candidates.
+7. Members that meet at a more frequent shingle, as those of a large family of texts at just
+   below the threshold do, are finished in the buckets which are still mixed. First, in a few
+   rounds, each offers its two most similar partners outside of its component, which joins what
+   hangs together; then all pairs of different components that are left and agree on
+   signatures are checked on sets where they meet, in blocks of bounded size, and only links
+   leave the task.
 
 With 28 bands of 4 rows a pair at similarity 0.8 shares no bucket with probability
 (1 - 0.8^4)^28 = 4e-7.
 
-Skew: buckets and digests with a third of all rows only occur as keys of map-side combined
-aggregations and of joins that AQE splits. Only counts come to the driver. A set of ids is
-broadcast when it has at most ``broadcast_ids`` rows (16 MB), else it is joined.
+Skew: buckets, shingles and digests with a third of all rows only occur as keys of map-side
+combined aggregations and of joins that deal a hot key to several tasks. Only counts come
+to the driver. A set of ids is broadcast when it has at most ``broadcast_ids`` rows (16 MB), else
+it is joined.
 
-Defined results: null, blank and wordless texts have an empty set and are linked with
+Ids are long integers; other types are cast, and one that doesn't cast fails. Defined results: null, blank and wordless texts have an empty set and are linked with
 nothing; repeated ids count as one vertex with the links of all of its rows; null ids are
 left out of linking and have no component; an empty table gives no rows.
 """
@@ -39,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.common import arrow_map, keyed_text, materialize, sliced
+from quirework.llm.common import arrow_map, free_name, keyed_text, materialize, salted_join, sliced
 from quirework.llm.components import connected_components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -238,17 +245,48 @@ def cross_pairs(members: DataFrame, facts: DataFrame, least: float, bands: int,
     return dealt.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 2_000_000, offers: int = 2, rounds: int = 2) -> DataFrame:
+def rare_pairs(facts: DataFrame, percent: int, rare: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) pairs of different components that share one of their rarest shingles, by an exact
+    prefix filter over ``facts`` (id, component, shingles binary), and the ids of those that
+    meet at a shingle which more than ``rare`` of them have, and so aren't in the pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            sets = [np.frombuffer(x, np.int64) for x in b.column("shingles").to_pylist()]
+            n = np.array([len(x) for x in sets], np.int64)
+            own = pa.array(np.repeat(np.arange(len(n)), n))
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("id").take(own), b.column("component").take(own), pa.array(np.repeat(n, n)), pa.array(flat)], ["id", "component", "n", "shingle"])
+
+    tokens = materialize(facts.select("id", "component", "shingles").mapInArrow(run, "id long, component long, n long, shingle long"), "tokens")
+    # a shingle of one member meets nobody, but takes its place at the front of the order
+    df = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = salted_join(tokens, df, "shingle", "df", tokens.count())
+    own = shared.groupBy("id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("s"))
+    front = own.where(prefix > 0).select("id", "component", "n", F.explode(F.slice("s", F.lit(1), prefix.cast("int"))["shingle"]).alias("shingle"))
+    front = materialize(front, "prefixes")
+    groups = front.groupBy("shingle").agg(F.count(F.lit(1)).alias("g"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle", "g")
+    met = materialize(salted_join(front, groups, "shingle", "g", front.count()), "meetings")
+    mates = met.where(F.col("g") <= rare).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("id", "component", "n"))).alias("m"))
+    near = lambda x, y: (x["component"] != y["component"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+    pairs = mates.select(F.explode("m").alias("x"), "m").select("x", F.explode(F.filter("m", lambda y: y["id"] > F.col("x.id"))).alias("y"))
+    pairs = pairs.where(near(F.col("x"), F.col("y"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return pairs, met.where(F.col("g") > rare).select("id").distinct()
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 2_000_000, rare: int = 32, offers: int = 2, rounds: int = 2) -> DataFrame:
     """(id, n_shingles, component, kept) of each row; kept: it is its component's smallest id."""
     signed = materialize(signatures(docs, width, bands, rows, id_col, text_col), "signatures")
     linked = signed.where("id IS NOT NULL AND n_shingles > 0")
-    copies = linked.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("digest", "rep")
-    classes = materialize(linked.select("id", "digest").join(copies, "digest").where("id > rep").select("id", "digest", "rep").distinct(), "classes")
+    copies = linked.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("rep < last").select("digest", "rep", "n")
+    total = linked.count()
+    classes = materialize(salted_join(linked.select("id", "digest"), copies, "digest", "n", total).where("id > rep").select("id", "digest", "rep").distinct(), "classes")
     reps = materialize(linked.join(classes.select("id", "digest"), ["id", "digest"], "left_anti"), "representatives")
 
     buckets = reps.select("id", F.posexplode("keys").alias("band", "key"))
     pivots = buckets.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("pivot < last").drop("last")
-    shared = materialize(buckets.join(pivots, "key").select("key", "band", "id", "pivot", "n"), "buckets")
+    shared = materialize(salted_join(buckets, pivots, "key", "n", bands * total).select("key", "band", "id", "pivot", "n"), "buckets")
 
     sigma = (percent * (100 - percent) / 1e4 / (bands * rows)) ** 0.5
     least = percent / 100 - 4 * sigma
@@ -260,36 +298,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         texts = keyed_text(docs, id_col, text_col).join(F.broadcast(ids) if few else ids, "id", "left_semi")
         return materialize(shingle_sets(texts, width), "sets")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         near = materialize(pairs, "near")
-        sets = sets_of(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))))
+        if sets is None:
+            sets = sets_of(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))))
         return materialize(sets_agree(near, sets, percent), "links")
 
-    def mixed_buckets(component: DataFrame) -> DataFrame:
-        rows = shared.where("n > 2").join(component, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
+    def mixed_buckets(component: DataFrame, among: DataFrame | None = None) -> DataFrame:
+        rows = shared.where("n > 2") if among is None else shared.where("n > 2").join(among, "id", "left_semi")
+        rows = rows.join(component, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
         rows = materialize(rows, "members")
-        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        return materialize(rows.join(mixed, "key", "left_semi"), "mixed")
-
-    links = confirmed(signatures_agree(candidates, reps, least))
-    tested = candidates
-    component = connected_components(links)
-    for _ in range(rounds):
-        pairs = cross_pairs(mixed_buckets(component), reps, least, bands, percent, offers)
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "offers")
-        if pairs.isEmpty():
-            break  # the best partners are all tested; the others follow below
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(confirmed(pairs))
-        component = connected_components(links)
+        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("key", "n")
+        return materialize(salted_join(rows, mixed, "key", "n", rows.count()).drop("n"), "mixed")
+
+    def grown(component: DataFrame, links: DataFrame) -> DataFrame:
+        """Components with more links: the stars so far stand for all links before."""
+        return connected_components(component.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(links))
+
+    component = connected_components(confirmed(signatures_agree(candidates, reps, least)))
     rest = mixed_buckets(component)
     if not rest.isEmpty():
-        facts = reps.select("id", "signature").join(sets_of(rest.select("id")), "id")
-        links = links.unionByName(materialize(cross_pairs(rest, facts, least, bands, percent), "links"))
+        open_ids = rest.select("id", "component").distinct()
+        sets = sets_of(open_ids.select("id"))
+        pairs, frequent = rare_pairs(open_ids.join(sets, "id"), percent, rare)
+        frequent = materialize(frequent, "frequent")
+        component = grown(component, confirmed(signatures_agree(pairs, reps, least), sets))
+        tested = candidates.where("false")
+        for _ in range(rounds):
+            rest = mixed_buckets(component, frequent)
+            if rest.isEmpty():
+                break
+            pairs = cross_pairs(rest, reps, least, bands, percent, offers)
+            pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "offers")
+            if pairs.isEmpty():
+                break  # the best partners are all tested; the others follow below
+            tested = tested.unionByName(pairs)
+            component = grown(component, confirmed(pairs, sets))
+        rest = mixed_buckets(component, frequent)
+        if not rest.isEmpty():
+            facts = reps.select("id", "signature").join(sets, "id")
+            component = grown(component, materialize(cross_pairs(rest, facts, least, bands, percent), "links"))
     # copies hang on their representative's component
     joined = classes.select("id", "rep").distinct().join(component.withColumnRenamed("id", "rep"), "rep", "left")
-    copied = joined.select(F.coalesce("component", "rep").alias("a"), F.col("id").alias("b"))
-    component = connected_components(links.unionByName(copied))
+    copied = joined.select(F.coalesce("component", "rep").alias("b"), F.col("id").alias("a"))
+    component = grown(component, copied)
     out = signed.select("id", "n_shingles").join(component, "id", "left")
     out = out.withColumn("component", F.coalesce("component", "id"))
     return out.withColumn("kept", F.coalesce(F.col("component") == F.col("id"), F.lit(True)))
@@ -302,6 +354,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     broadcast up to ``broadcast_ids`` of them, so that texts aren't shuffled, else joined.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, broadcast_ids=broadcast_ids, **options)
-    gone = materialize(found.where("NOT kept").select(F.col("id").alias("_gone_id")).distinct(), "gone")
+    own = free_name(docs, "gone_id")
+    gone = materialize(found.where("NOT kept").select(F.col("id").alias(own)).distinct(), "gone")
     few = gone.count() <= broadcast_ids
-    return docs.join(F.broadcast(gone) if few else gone, docs[id_col].cast("long") == F.col("_gone_id"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col].cast("long") == gone[own], "left_anti")

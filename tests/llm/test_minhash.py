@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirework.llm.components import connected_components
-from quirework.llm.minhash import Signer, WordHashes, cross_pairs, deduplicate, near_duplicates, shingle_set
+from quirework.llm.minhash import Signer, WordHashes, cross_pairs, deduplicate, near_duplicates, rare_pairs, shingle_set
 
 
 def brute(rows, width, percent=80):
@@ -46,11 +46,11 @@ def family(seed, n=60):
     return rows + rows[5:9] + [(1000, "One"), (1001, "oNE"), (1002, ""), (1003, None), (1004, " \t"), (1005, "a b"), (1006, "a b c")]
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_components_equal_brute_force(spark, width):
+@pytest.mark.parametrize(("width", "rare"), [(2, 32), (5, 32), (2, 1), (5, 2)])
+def test_components_equal_brute_force(spark, width, rare):
     rows = family(width)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = near_duplicates(docs, width=width).collect()
+    got = near_duplicates(docs, width=width, rare=rare).collect()
     assert len(got) == len(rows)
     want = brute(rows, width)
     for r in got:
@@ -68,6 +68,33 @@ def test_members_far_from_the_pivot_are_found(spark):
     assert {r.id: r.component for r in got} == want and len(set(want.values())) == 1
 
 
+def test_a_shared_passage_makes_no_pairs(spark):
+    """Texts that share three quarters meet in many buckets, but at no rare shingle."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(150)]
+    texts = [(i, " ".join(passage + [f"o{rng.randrange(10**6)}" for _ in range(50)])) for i in range(120)]
+    texts += [(200 + i, t + " and") for i, t in texts[:5]]
+    cache = WordHashes()
+    facts = [(i, i, bytearray(shingle_set(t, 2, cache).tobytes())) for i, t in texts]
+    pairs, frequent = rare_pairs(spark.createDataFrame(facts, "id long, component long, shingles binary"), 80, 32)
+    assert {(r.a, r.b) for r in pairs.collect()} == {(i, 200 + i) for i in range(5)}
+    assert frequent.count() == 0
+
+
+def test_rare_pairs_lose_no_link(spark):
+    rows = [(i, t) for i, t in dict(family(11, 90)).items() if (t or "").split()]
+    cache = WordHashes()
+    sets = {i: set(shingle_set(t, 2, cache).tolist()) for i, t in rows}
+    facts = [(i, i, bytearray(shingle_set(t, 2, cache).tobytes())) for i, t in rows]
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    for rare in (1, 6, 32, 1000):
+        pairs, frequent = rare_pairs(spark.createDataFrame(facts, "id long, component long, shingles binary"), 80, rare)
+        found, rest = {(r.a, r.b) for r in pairs.collect()}, {r.id for r in frequent.collect()}
+        assert all(p in found or set(p) <= rest for p in linked)
+        if rare == 1000:
+            assert not rest
+
+
 def test_cross_pairs_in_blocks(spark):
     signer, cache = Signer(28, 4), WordHashes()
     rng = random.Random(9)
@@ -96,6 +123,7 @@ def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(400 + i, 401 + i) for i in range(40)] + [(7, 7), (None, 3)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), hot=2).collect()}
     parent = {}
 
     def root(x):
@@ -120,4 +148,6 @@ def test_odd_rows(odd_docs, no_docs):
     left = deduplicate(odd_docs)
     assert left.columns == odd_docs.columns
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(r.doc_id) for r in odd_docs.collect() if r.doc_id != 2)
+    named = odd_docs.withColumn("gone_id", F.col("doc_id")).withColumn("_gone_id", F.lit(1))
+    assert deduplicate(named).count() == odd_docs.count() - 1
     assert near_duplicates(no_docs).count() == 0 and deduplicate(no_docs).count() == 0
