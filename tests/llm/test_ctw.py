@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,18 +56,22 @@ def brute(train, text, depth):
     return total
 
 
-@pytest.mark.parametrize("block_chars", [120, 100_000])
-def test_scores_equal_the_definition(spark, block_chars):
+#: One block; a butterfly of several levels; tree groups split down to four context bytes.
+SHAPES = [{}, {"block_chars": 120}, {"block_chars": 70, "bits": 1}, {"block_chars": 120, "bits": 2, "group_grams": 3, "most_split": 10_000}]
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_scores_equal_the_definition(spark, shape):
     texts = ["the cat sat on the mat", "a cat, a hat", "THE hat sat", "", None, "zebra", "the cat sat on the hat", "mat"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    rows = ctw.score_documents(docs, train_where=F.col("doc_id") < 5, block_chars=block_chars).collect()
+    rows = ctw.score_documents(docs, train_where=F.col("doc_id") < 5, **shape).collect()
     low = [(t or "").encode().lower() for t in texts]
     train = low[:5]
     assert sorted(r.id for r in rows) == list(range(8))
     words = Counter(w for t in train for w in t.split())
     n, v = sum(words.values()) + 5, len(words) + 1
     for r in rows:
-        assert r.score == pytest.approx(brute(train, low[r.id], ctw.DEPTH), rel=1e-6)
+        assert r.score == pytest.approx(brute(train, low[r.id], ctw.DEPTH), rel=1e-9)
         base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in low[r.id].split()) + math.log10(6 / (n + v + 1))
         assert r.base_score == pytest.approx(base)
         assert (r.train_tokens, r.n_tokens, r.held_out) == (n, len(low[r.id].split()) + 1, r.id >= 5)
@@ -78,9 +83,20 @@ def test_bytes_of_a_context_sum_to_one():
     grams, counts = ctw.add_up([rng.integers(0, 1 << 12, 400, np.uint64)], [rng.integers(0, 3, 400)])
     context = grams[7] >> np.uint64(8) << np.uint64(8)
     keys, c = ctw.add_up([grams, context + np.arange(256, dtype=np.uint64)], [counts, np.zeros(256, np.int64)])
-    tree = ctw.Subtrees(keys, c)
-    p = 10 ** tree.log10_probabilities(ctw.Upper(*[x.astype(np.int64) if i == 0 else x for i, x in enumerate(tree.summary())]))
-    assert p[keys >> np.uint64(8) << np.uint64(8) == context].sum() == pytest.approx(1)
+    for top in (2, 3, 4):
+        tree = ctw.Subtrees(keys, c, top)
+        nodes, sums = tree.summary()
+        p = 10 ** tree.log10_probabilities(ctw.Upper({top - 1: (nodes.astype(np.int64), sums)}))
+        assert p[keys >> np.uint64(8) << np.uint64(8) == context].sum() == pytest.approx(1)
+
+
+def test_chunks_hold_every_row_once_and_are_dealt_evenly(spark):
+    docs = spark.range(4000).selectExpr("id", "repeat('x', cast(id % 300 as int)) AS text", "id % 7 = 2 AS held_out").coalesce(2)
+    rows = ctw._chunks(docs, 3).collect()
+    ids = sorted(i for r in rows for some, _, _ in ctw._batches([pa.py_buffer(bytes(r.chunk))]) for i in some)
+    assert ids == list(range(4000))
+    per = np.bincount([r.block for r in rows], minlength=3)
+    assert per.max() - per.min() <= 2
 
 
 def test_odd_rows(odd_docs, no_docs):
@@ -98,4 +114,5 @@ def test_packed_arrays_round_trip():
     k = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 1000, np.uint64))
     c = np.arange(len(k), dtype=np.uint32)
     a, b = ctw.unpack(ctw.pack(k, c), np.uint32)
+    assert sorted(i for i, _ in ctw.by_bucket(np.array([5, 2, 5, 9]))) == [2, 5, 9] and not list(ctw.by_bucket(np.zeros(0, np.int64)))
     assert (a == k).all() and (b == c).all()
