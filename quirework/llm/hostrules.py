@@ -134,18 +134,19 @@ def judge_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, b
 def filter_documents(docs: DataFrame, rules: Mapping[str, str] = DEFAULT_RULES, base: tuple[str, ...] = BASE_RULES, max_rate: float = 0.8, text_col: str = "text", host_col: str = "source", broadcast_hosts: int = 50_000) -> DataFrame:
     """The rows of ``docs`` that are kept, with all columns as they were.
 
-    The first pass counts failures by host. The second judges each row by its own text and
-    by its host, so no text is shuffled: the rejected hosts are written out, counted, and
-    broadcast when there are at most ``broadcast_hosts`` of them; more of them are joined.
+    One pass computes the statistics and writes each row beside them, so texts are looked at
+    once. Failures are counted by host from the written numbers; a row then goes by its own
+    or by its host's verdict. No text is shuffled: the rejected hosts are written out, counted,
+    and broadcast when there are at most ``broadcast_hosts`` of them; more of them are joined.
     """
-    stats = text_statistics(docs, text_col, host_col)
-    rejected = host_verdicts(materialize(stats, "hostrules"), rules, max_rate).where("rejected").select("host")
-    rejected = materialize(rejected, "badhosts")
-    n_bad = rejected.count()
     rows = text_statistics(docs, text_col, host_col, _row=F.struct(*(docs[c] for c in docs.columns)))
-    # a generator in between: else the optimizer would copy the statistics into the filter,
+    # a generator in between: else the optimizer would copy the statistics into the verdict,
     # where each element of an array would compute its whole array again
-    rows = rows.select("_row", "host", F.inline(F.array(F.struct(*STATISTICS)))).where(~_base_failed(rules, base))
+    rows = rows.select("_row", "host", F.inline(F.array(F.struct(*STATISTICS))))
+    rows = materialize(rows.withColumn("_base_failed", _base_failed(rules, base)), "hostrules")
+    rejected = materialize(host_verdicts(rows, rules, max_rate).where("rejected").select("host"), "badhosts")
+    n_bad = rejected.count()
+    kept = rows.where("NOT _base_failed")
     if n_bad:
-        rows = rows.join(F.broadcast(rejected) if n_bad <= broadcast_hosts else rejected, "host", "left_anti")
-    return rows.select("_row.*")
+        kept = kept.join(F.broadcast(rejected) if n_bad <= broadcast_hosts else rejected, "host", "left_anti")
+    return kept.select("_row.*")
