@@ -27,7 +27,7 @@ FEW_LINES = 3
 CHAPTER_HINT = r"^CHAPTER\s+\d+"
 CHAPTER_MARKER = r"^C\s+H\s+A\s+P\s+T\s+E\s+R\s+(\d+)\s*$"
 TOC_BULLET = r"^\s*•\s*(.+?),\s*on\s+page\s+\d+\s*$"
-NOTE_LINE = r"^\s*Note\s*$"
+NOTE_WORD = "Note"
 CLI_PROMPT = r"(switch|router)\s*[#(>]"
 HINT_OPENERS = ("The ", "A ", "This ")
 CONTENT_OPENERS = ("The ", "A ", "This ", "Cisco ", "For ", "To ", "When ", "If ", "You ")
@@ -36,6 +36,10 @@ NON_HEADER_PREFIXES = (
     "before you begin", "summary steps", "detailed steps", "what to do next", "on page ", "this chapter", "this section",
 )
 
+# The code fence around a response.
+FENCE_START = r"^```(?:json)?\s*\n?"
+FENCE_END = r"\n?```\s*\z"
+
 # Rules on subsection titles.
 PRODUCT_TITLE = r"^(N\d+K[-A-Z0-9]+|SAL\d+[A-Z0-9]+|C\d+[A-Z0-9]+|SUP-?[AB]\+?)$"
 LOG_TITLE = (

@@ -1,27 +1,59 @@
 """Text functions as Column expressions: JVM-side, no Python per row.
 
-``\\s`` stands for Unicode white space and multi-line anchors only know ``\\n``, as the rules
-need it; Java's defaults differ in both.
+White space is Unicode's, with the four separators U+001C to U+001F, digits are of any script, and
+multi-line anchors only know ``\\n``, as the rules need it; Java's defaults differ in all of
+these, and its own Unicode mode in the second and is far slower.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quirework.functions import rules
 
+#: White space, as the inside of a character class and as characters.
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 WORD = r"[\p{L}\p{N}_]+"
 
 
+def java(pattern: str, flags: str = "") -> str:
+    """A rule's pattern in Java's syntax, with the meaning of \\s, \\S, \\d, \\w and \\b as above."""
+    out, at, inside = [], 0, False
+    classes = {"s": f"[{SPACE}]", "S": f"[^{SPACE}]", "d": r"\p{Nd}", "w": r"[\p{L}\p{N}_]", "b": r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_]))"}
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            name = pattern[at + 1]
+            found = classes.get(name, pattern[at : at + 2])
+            out.append(found.strip("[]") if inside and name in "sw" else found)
+            at += 2
+            continue
+        inside = c == "[" or (inside and c != "]")
+        out.append(c)
+        at += 1
+    return (f"(?{flags})" if flags else "") + "".join(out)
+
+
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def rstrip(c: Column) -> Column:
+    return F.rtrim(c, F.lit(SPACES))
+
+
+def lstrip(c: Column) -> Column:
+    return F.ltrim(c, F.lit(SPACES))
 
 
 def squeeze(c: Column) -> Column:
     """Runs of white space as one blank, stripped."""
-    return F.btrim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.btrim(F.regexp_replace(c, java(r"\s+"), " "))
 
 
 def match_form(c: Column) -> Column:
@@ -36,15 +68,15 @@ def count_words(c: Column) -> Column:
 
 def count_tokens(c: Column) -> Column:
     """Runs of non-white-space."""
-    return F.size(F.regexp_extract_all(c, F.lit(r"(?U)\S+"), F.lit(0))).cast("long")
+    return F.size(F.regexp_extract_all(c, F.lit(java(r"\S+")), F.lit(0))).cast("long")
 
 
 def title_form(c: Column) -> Column:
     """Title for comparison: no chapter number, no punctuation, lower case."""
     t = F.lower(F.coalesce(c, F.lit("")))
-    t = F.regexp_replace(t, r"(?U)^chapter\s+\d+:?\s+", "")
-    t = F.regexp_replace(t, r"(?U)^\d+\.\s+", "")
-    return squeeze(F.regexp_replace(t, r"(?U)[^\p{L}\p{M}\p{N}_\s]", " "))
+    t = F.regexp_replace(t, java(r"^chapter\s+\d+:?\s+"), "")
+    t = F.regexp_replace(t, java(r"^\d+\.\s+"), "")
+    return squeeze(F.regexp_replace(t, r"[^\p{L}\p{N}_]", " "))
 
 
 def title_of_id(c: Column) -> Column:
@@ -79,7 +111,7 @@ def notes_block(notes: Column) -> Column:
 def strip_fence(c: Column) -> Column:
     """A response without the code fence around it."""
     s = strip(c)
-    inner = F.regexp_replace(F.regexp_replace(s, r"^```(?:json)?\s*\n?", ""), r"\n?```\s*\z", "")
+    inner = F.regexp_replace(F.regexp_replace(s, java(rules.FENCE_START), ""), java(rules.FENCE_END), "")
     return F.when(s.startswith("```"), inner).otherwise(s)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import rules
-from quirework.functions.text import count_words, match_form, strip
+from quirework.functions.text import count_words, java, match_form, strip
 
 DOC, CHAPTER = ["doc_id"], ["doc_id", "chapter_idx"]
 SECTION, BLOCK = [*CHAPTER, "sec_idx"], [*CHAPTER, "sec_idx", "h3_idx"]
@@ -34,14 +34,14 @@ def mark_chapters(lines: DataFrame) -> DataFrame:
     the marks of the chapter's start, title line, first contents entry and end of contents."""
     w = Window.partitionBy(*DOC).orderBy("line_no")
     x = lines.select("doc_id", "line_no", "page_number", "text").withColumn("s", strip(F.col("text"))).withColumn("norm", match_form(F.col("text")))
-    x = x.withColumn("marker", F.nullif(F.regexp_extract("s", rules.CHAPTER_MARKER, 1), F.lit("")).cast("long"))
+    x = x.withColumn("marker", F.nullif(F.regexp_extract("s", java(rules.CHAPTER_MARKER, "d"), 1), F.lit("")).cast("long"))
     ahead = F.first(F.nullif("s", F.lit("")), ignorenulls=True).over(w.rowsBetween(1, 3))
     x = x.withColumn("ahead", F.when(F.col("marker").isNotNull(), F.coalesce(ahead, F.lit(""))))
     x = x.withColumn("chapter_idx", F.count("marker").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     c = Window.partitionBy(*CHAPTER)
     x = x.withColumn("chapter_number", F.max("marker").over(c)).withColumn("chapter_title", F.max("ahead").over(c))
     x = x.withColumn("ch_start", F.min("line_no").over(c)).withColumn("ch_end", F.max("line_no").over(c) + 1)
-    x = x.withColumn("bullet", F.nullif(F.regexp_extract("s", rules.TOC_BULLET, 1), F.lit("")))
+    x = x.withColumn("bullet", F.nullif(F.regexp_extract("s", java(rules.TOC_BULLET, "d"), 1), F.lit("")))
     x = x.withColumn("title_line", F.min(F.when((F.col("line_no") > F.col("ch_start")) & (F.col("s") != ""), F.col("line_no"))).over(c))
     x = x.withColumn("first_bullet", F.min(F.when((F.col("line_no") > F.col("title_line")) & F.col("bullet").isNotNull(), F.col("line_no"))).over(c))
     ends = (F.col("line_no") > F.col("first_bullet")) & F.col("bullet").isNull() & (F.col("s") != "")
@@ -146,7 +146,7 @@ def section_anchors(marked: DataFrame, chapter_rows: DataFrame, fuzzy: bool = Tr
 def looks_like_header(s: Column) -> Column:
     """The shape of a subsection header; ``s`` is a stripped line."""
     low = F.lower(s)
-    bad = s.rlike(r"[.,:;!?]$") | s.rlike(rules.CLI_PROMPT) | s.rlike(r"(?U)^[\d.\s]+$") | s.rlike("^[•-]")
+    bad = s.rlike(r"[.,:;!?]$") | s.rlike(rules.CLI_PROMPT) | s.rlike(java(r"^[\d.\s]+\z")) | s.rlike("^[•-]")
     for p in rules.NON_HEADER_PREFIXES:
         bad = bad | low.startswith(p)
     return F.length(s).between(5, 60) & s.rlike(r"^\p{Lu}") & ~bad & ~(~s.contains(" ") & (low == s))
@@ -192,7 +192,7 @@ def section_notes(blocks: DataFrame) -> DataFrame:
     x = body
     for i in (1, 2, 3):
         x = x.withColumn(f"b{i}", F.lag("s", i).over(w)).withColumn(f"a{i}", F.lead("s", i).over(w))
-    x = x.where(F.col("text").rlike(f"(?U){rules.NOTE_LINE}"))
+    x = x.where((F.col("s") == rules.NOTE_WORD))
 
     def run(side: str) -> list[Column]:
         ok, out = F.lit(True), []

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework.functions import rules
-from quirework.functions.text import count_tokens, preview, strip
+from quirework.functions.text import count_tokens, java, lstrip, preview, rstrip, strip
 
 CHAPTER = ["doc_id", "chapter_idx"]
 
@@ -29,10 +29,8 @@ def merge_split(sections: DataFrame) -> DataFrame:
         *(F.first(c).alias(c) for c in ("chapter_number", "chapter_title", "parent_section", "section_level", "h3_count", "chapter_summary")),
     )
     first = F.get("p", F.lit(0))
-    rest = F.filter(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), lambda x: x["content"].rlike(r"(?U)\S"))
-    right = lambda c: F.regexp_replace(c, r"(?U)\s+\z", "")
-    left = lambda c: F.regexp_replace(c, r"(?U)^\s+", "")
-    joined = F.aggregate(rest, first["content"], lambda acc, x: F.concat(right(acc), F.lit("\n\n"), left(x["content"])))
+    rest = F.filter(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), lambda x: strip(x["content"]) != "")
+    joined = F.aggregate(rest, first["content"], lambda acc, x: F.concat(rstrip(acc), F.lit("\n\n"), lstrip(x["content"])))
     g = g.withColumn("content", joined).withColumn("n_merged", (F.size("p") - 1).cast("long"))
     merged = g.select(
         *CHAPTER,
@@ -62,7 +60,7 @@ def judge(title: Column, word_count: Column) -> tuple[Column, Column]:
     """(accepted, reason) of a subsection, by the first rule that fits."""
     t = strip(title)
     low = F.lower(t)
-    head = F.lower(F.coalesce(F.get(F.split(t, r"(?U)\s+", 2), F.lit(0)), F.lit("")))
+    head = F.lower(F.coalesce(F.get(F.split(t, java(r"\s+"), 2), F.lit(0)), F.lit("")))
     root = F.substring_index(head, "-", 1)
     prose = F.concat(F.lit("Title starts with sentence-starter '"), head, F.lit("' (looks like prose, not header)"))
     no = F.lit(False)
@@ -71,16 +69,16 @@ def judge(title: Column, word_count: Column) -> tuple[Column, Column]:
         (head.contains("-") & root.isin(*rules.SENTENCE_STARTERS), no, prose),
         (head.isin(*rules.SENTENCE_STARTERS), no, prose),
         (word_count == 0, no, F.lit("Zero word content (empty section)")),
-        (t.rlike(f"(?i){rules.PRODUCT_TITLE}"), no, F.lit("Cisco product/serial number pattern")),
-        (t.rlike(f"(?iU){rules.LOG_TITLE}"), no, F.lit("Cisco syslog/CLI output line")),
+        (t.rlike(java(rules.PRODUCT_TITLE, "iud")), no, F.lit("Cisco product/serial number pattern")),
+        (t.rlike(java(rules.LOG_TITLE, "iud")), no, F.lit("Cisco syslog/CLI output line")),
         (low.isin(*rules.STATUS_VALUES), no, F.lit("Pure status value")),
         (low.isin(*rules.SYSTEM_STRINGS), no, F.lit("System/terminal output string")),
         *((low.startswith(s), no, F.lit(f"Starts with system string: '{s}'")) for s in rules.SYSTEM_STRINGS),
         (low.isin(*rules.TABLE_HEADERS), no, F.lit("Table header repetition")),
-        (t.rlike(f"(?U){rules.DIGITS_SYMBOLS}"), no, F.lit("Mostly digits/symbols")),
+        (t.rlike(java(rules.DIGITS_SYMBOLS)), no, F.lit("Mostly digits/symbols")),
         (word_count >= rules.ENOUGH_WORDS, F.lit(True), F.concat(F.lit("Sufficient content ("), _words(word_count), F.lit(" words)"))),
         (
-            t.rlike(rf"(?iU)\b({'|'.join(rules.TITLE_KEYWORDS)})\b") | t.rlike(rf"(?iU)\b({'|'.join(rules.TITLE_END_KEYWORDS)})\s*\z"),
+            t.rlike(java(rf"\b({'|'.join(rules.TITLE_KEYWORDS)})\b", "iu")) | t.rlike(java(rf"\b({'|'.join(rules.TITLE_END_KEYWORDS)})\s*\z", "iu")),
             F.lit(True),
             F.concat(F.lit("Keyword pattern (only "), _words(word_count), F.lit(" words content)")),
         ),

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,30 +24,94 @@ def one(spark, expr, **values):
     (FILL + "\nINDEX", 3, "Index header"), (FILL + "\nI N D E X", 3, "Index header (spaced)"),
     ("Audience\nCONTENTS\n" + FILL, 9, "Table of contents header"),
     ("x" * 199 + "\n\n", 3, "Sparse content (199 chars)"), ("x" * 200, 3, "Too few lines (1)"),
+    (FILL + "\nCONTENTS\u00a0", 3, "Table of contents header"), (FILL + "\n\u2003INDEX", 3, None), (FILL + "\nI\u00a0N D E X", 3, "Index header (spaced)"),
+    (FILL + "\nINDE\u2028X", 3, "Index header (spaced)"), (FILL + "\nAud\u0131ence", 3, "Audience section"), (FILL + "\nContent\u017f", 3, "Table of contents header"),
     ("\n".join(["y" * 80] * 3), 3, "Too few lines (3)"), ("\n".join(["y" * 80] * 4), 3, None), ("", 3, "Sparse content (0 chars)"),
 ])
 def test_reasons(spark, text, page, want):
-    assert one(spark, P.boilerplate_reason(F.col("t"), F.col("p")), t=text, p=page) == want
+    df = spark.createDataFrame([(page, text)], "page_number bigint, text string")
+    assert P.clean_pages(df).first().boilerplate_reason == want
 
 
 def test_every_pattern_has_its_reason(spark):
     samples = ["THE SPECIFICATIONS AND INFORMATION REGARDING THE PRODUCTS", "Cisco and the Cisco logo are trademarks", "CONTENTS", "PREFACE Preface x", "This preface includes the following sections",
                "Reference Preface Map here", "Audience", "This publication is for network administrators", "Document Conventions", "Documentation Feedback", "Related Documentation for Cisco Nexus",
                "Communications, services, and additional information", "Cisco Bug Search Tool", "INDEX", "I N D E X"]
-    df = spark.createDataFrame([(i, 3, s + "\n" + FILL) for i, s in enumerate(samples)], "i int, p int, t string")
-    got = [r[1] for r in df.select("i", P.boilerplate_reason(F.col("t"), F.col("p"))).orderBy("i").collect()]
+    df = spark.createDataFrame([(i, 3, s + "\n" + FILL) for i, s in enumerate(samples)], "i int, page_number int, text string")
+    got = [r.boilerplate_reason for r in P.clean_pages(df).orderBy("i").collect()]
     assert got == [reason for _, reason in rules.PAGE_PATTERNS]
 
 
 @pytest.mark.parametrize(("line", "keep"), [("My  GUIDE", False), ("iv", False), ("MIX", False), ("12", False), ("IN-3", False), ("IN-x", True), ("  ", False), ("  kept as it is ", True), ("civil war", True)])
 def test_clean_lines(spark, line, keep):
-    got = one(spark, P.clean_text(F.col("t"), F.lit("My Guide")), t=f"a line\n{line}\nb line")
+    df = spark.createDataFrame([(3, f"{FILL}\na line\n{line}\nb line", "My Guide")], "page_number bigint, text string, title string")
+    got = P.clean_pages(df, F.col("title")).first().text.removeprefix(FILL + "\n")
     assert got == ("a line\n" + line + "\nb line" if keep else "a line\nb line")
 
 
 def test_header_hints(spark):
     text = "Overview of it\nthe text goes on\nNot one.\nthe text\nAnother Header\nThe text\nLast Header\n Indented text"
-    assert one(spark, P.header_hints(F.col("t")), t=text) == ["Overview of it", "Another Header"]
+    assert one(spark, P.header_hints(F.split("t", "\n")), t=text) == ["Overview of it", "Another Header"]
+    for t, want in (("One Header", []), ("", []), ("One Header\n\nthe text", ["One Header"]), ("One Header\n\n\nthe text", []), ("One Header\n  The text", ["One Header"])):
+        assert one(spark, P.header_hints(F.split("t", "\n")), t=t) == want
+
+
+def plain_page(text, number, title):
+    """The rules over one page in plain Python: (reason, text, headers)."""
+    norm = lambda x: re.sub(r"\s+", " ", x).strip().lower()
+    reason = rules.FIRST_PAGES_REASON if number <= rules.FIRST_PAGES else None
+    reason = reason or next((why for p, why in rules.PAGE_PATTERNS if re.search(p, text, re.M | re.I)), None)
+    size, lines = len(re.sub(r"\s+", " ", text).strip()), text.split("\n")
+    full = sum(bool(x.strip()) for x in lines)
+    reason = reason or (f"Sparse content ({size} chars)" if size < rules.SPARSE_CHARS else f"Too few lines ({full})" if full <= rules.FEW_LINES else None)
+    if reason:
+        return reason, text, []
+    kept = [x for x in lines if x.strip() and norm(x) != norm(title) and not re.match(r"^([ivxlcdm]+)$", x.strip(), re.I) and not re.match(r"^(\d+|IN-\d+)$", x.strip())]
+    heads = []
+    for i, x in enumerate(kept):
+        s = x.strip()
+        after = next((y for y in kept[i + 1 : i + 3] if y.strip()), None)
+        if 5 <= len(s) <= 80 and s[0].isupper() and not s.endswith(".") and after is not None and (after[0].islower() or after.strip().startswith(rules.HINT_OPENERS)):
+            heads.append(s)
+    return None, "\n".join(kept), heads
+
+
+def test_pages_equal_plain_python(spark):
+    rng = random.Random(3)
+    words = [re.sub(r"\\s[*+]|[\^$]", " ", p).strip() for p, _ in rules.PAGE_PATTERNS]
+    odd = ["iv", "MIX", "12", "IN-9", "\u0661\u0662", "", " ", "\u00a0", "\x1c", "My Guide", " my\u2003GUIDE ", "A Header Line", "Short", "The text", "This text.", "  indented text", "\u00c9tat du nord", "\u00e9tat", "CHAPTER 7"]
+    space = [" ", "  ", "\t", "\u00a0", "\u2028", "\x1d", ""]
+    rows = []
+    for i in range(600):
+        lines = [rng.choice(odd) if rng.random() < 0.6 else rng.choice(words) + rng.choice(["", " more"]) if rng.random() < 0.08 else "some words of a line that go on. " * rng.randrange(1, 3) for _ in range(rng.randrange(0, 14))]
+        rows.append((i, rng.choice([2, 3, 9]), "\n".join(rng.choice(space) + x + rng.choice(space) for x in lines), rng.choice(["My Guide", "", "Other"])))
+    df = spark.createDataFrame(rows, "i int, page_number int, text string, title string")
+    got = {r.i: (r.boilerplate_reason, r.text, r.detected_headers) for r in P.classify_pages(df, F.col("title")).collect()}
+    for i, number, text, title in rows:
+        assert got[i] == plain_page(text, number, title)
+
+
+def test_null_titles_and_texts_and_clashing_names(spark):
+    schema = "page_number bigint, text string, title string, _low string, page_facts int, boilerplate_reason string, `a.b` int"
+    df = spark.createDataFrame([(3, FILL, None, "mine", 7, "old", 1), (4, None, "t", "mine", 7, None, 1)], schema)
+    rows = P.classify_pages(df, F.col("title")).orderBy("page_number").collect()
+    assert rows[0].text == FILL and rows[0].boilerplate_reason is None and rows[0]._low == "mine" and rows[0].page_facts == 7 and rows[0]["a.b"] == 1
+    assert rows[1].text == "" and rows[1].boilerplate_reason == "Sparse content (0 chars)"
+
+
+def test_long_pages_cost_no_more_than_their_lines(spark):
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"Header Of Part {i}\nthe text of the part goes on" for i in range(n // 2))
+        df = spark.createDataFrame([(i, 3, text) for i in range(8)], "i int, page_number int, text string").coalesce(1)
+        began = time.perf_counter()
+        assert P.classify_pages(df).agg(F.sum(F.size("detected_headers"))).first()[0] == 8 * (n // 2)
+        return time.perf_counter() - began
+
+    seconds(400)
+    few, many = (min(seconds(n) for _ in range(2)) for n in (4_000, 16_000))
+    assert many < 3 * 4 * max(few, 0.2)
 
 
 def test_classify_and_counts(spark):
