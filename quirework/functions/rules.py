@@ -84,3 +84,45 @@ KB_TYPES = ("config", "theory", "troubleshooting")
 PLATFORM_PREFIXES = ("nx-os-", "nxos-", "ios-xe-", "iosxe-")
 TYPE_SUFFIXES = ("-theory", "-config", "-troubleshooting")
 SEVERITIES = ("critical", "major", "minor")
+
+# Headings each class of entry must have, and what a verifier's problems are called.
+REQUIRED_HEADINGS = {
+    "config": ("Syntax", "Notes"),
+    "theory": ("Overview", "Key Concepts", "How It Works", "Notes"),
+    "troubleshooting": ("Purpose", "Procedure", "Expected Output", "Notes"),
+}
+PROBLEM_CATEGORIES = (
+    "hallucination", "contradiction", "distortion", "numeric_error", "command_invention", "specification_invention", "scope_creep", "citation_error",
+)
+
+# What a section is skipped for, what an entry must keep to and what a verifier must look at, in our words.
+SKIP_RULES = (
+    "it only points to another document or section",
+    "it is a list of MIBs or references",
+    'its title is "Additional References"',
+    "it has fewer than 50 words of substance",
+    "it is a bare table without explanation or commands",
+)
+FIDELITY_RULES = (
+    "State only what the section states; add no general knowledge and no advice of your own.",
+    "Keep numbers, commands, model names and limits exactly as they stand.",
+    "Replace addresses, names and other values of an example by placeholders in angle brackets.",
+    "Keep each note of the section below the heading Notes.",
+)
+MUST_CHECK = (
+    "every number of the entry stands in the text",
+    "every command of the entry stands in the text",
+    "every product or model name of the entry stands in the text",
+    "every must, should, always and never of the entry is supported by the text",
+)
+USEFUL_WORDS = 50
+STRONG_WORDS = ("must", "should", "always", "never")
+
+# Messages of rows that can't be used.
+NO_OBJECT = "No JSON object found in response"
+BAD_JSON = "Invalid JSON in response: "
+NOT_AN_OBJECT = "Response is not a JSON object"
+NO_DECISION = "Missing 'decision' field"
+BAD_DECISION = "Invalid decision: "
+MALFORMED_CATEGORY = "malformed_llm_output"
+BAD_PROBLEM = "Unexpected problem entry type: "

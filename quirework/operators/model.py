@@ -1,25 +1,31 @@
 """The model operator: prompts to responses, by a pluggable backend.
 
-A backend is a picklable object with ``call(system, user) -> str``, or with ``acall`` for
-concurrent requests within a partition. The default is a stub, a pure function of the prompt. Rows keep
-their key through the operator, so responses need no positional join; errors are a column
-and never fail a task. Partitions times concurrency should not exceed what a server takes.
+A backend is a picklable object with ``call(system, user) -> str``. The default is a stub, a
+pure function of the prompt. Rows keep their key through the operator, so responses need no
+positional join; errors are a column and never fail a task.
+
+A partition keeps ``concurrency`` requests under way, in threads of its own, and hands rows on
+as they are answered, in their order; ``partitions`` bounds how many partitions ask at once, so
+that a server sees at most partitions x concurrency requests. A task that is run again asks
+again for its own rows alone.
 """
 
 from __future__ import annotations
 
-import asyncio
+import hashlib
 import json
 import os
 import time
 import urllib.error
 import urllib.request
-import zlib
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 RESPONSE = "success boolean, raw_text string, error string, duration_seconds double, retry_count integer"
@@ -32,7 +38,7 @@ class StubBackend:
     role: str = "generate"
 
     def call(self, system: str, user: str) -> str:
-        h = zlib.crc32(user.encode())
+        h = int(hashlib.md5(user.encode()).hexdigest()[:8], 16)
         if self.role == "verify":
             problems = [] if h % 3 else [{"category": "unsupported", "claim": f"c{h % 97}", "issue": "not in source", "severity": ("critical", "major", "minor")[h % 7 % 3]}]
             return json.dumps({"decision": "FLAG" if problems else "PASS", "problems": problems})
@@ -137,33 +143,47 @@ def call_with_retry(backend, system: str, user: str, attempts: int = 3, waits: t
     return {"success": False, "raw_text": "", "error": error, "duration_seconds": time.monotonic() - began, "retry_count": attempts}
 
 
-def call_model(df: DataFrame, backend, system: str = "", prompt_col: str = "user_prompt", concurrency: int = 1, attempts: int = 3, waits: tuple[float, ...] = (2.0, 5.0)) -> DataFrame:
-    """``df`` with the response's fields. A null prompt isn't sent and gives null fields."""
-
-    async def all_of(prompts: list[str]) -> list[dict]:
-        gate = asyncio.Semaphore(concurrency)
-
-        async def one(p: str) -> dict:
-            async with gate:
-                return await asyncio.to_thread(call_with_retry, backend, system, p, attempts, waits)
-
-        return await asyncio.gather(*map(one, prompts))
+def call_model(df: DataFrame, backend, system: str = "", prompt_col: str = "user_prompt", concurrency: int = 1, attempts: int = 3, waits: tuple[float, ...] = (2.0, 5.0), partitions: int | None = None, progress: Callable[[int], None] | None = None) -> DataFrame:
+    """``df`` with the response's fields. A null prompt isn't sent and gives null fields.
 
+    ``progress`` is called in the task with the number of answers it has so far.
+    """
     names = [f.split()[0] for f in RESPONSE.split(", ")]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            asked = f[prompt_col].notna()
-            prompts = list(f.loc[asked, prompt_col])
-            got = asyncio.run(all_of(prompts)) if concurrency > 1 else [call_with_retry(backend, system, p, attempts, waits) for p in prompts]
-            for n in names:
-                col = pd.Series([None] * len(f), index=f.index, dtype="object")
-                col[asked] = [g[n] for g in got]
-                f[n] = col
-            yield f
+    empty = dict.fromkeys(names)
+
+    def ask(prompt: str | None) -> dict:
+        return empty if prompt is None else call_with_retry(backend, system, prompt, attempts, waits)
+
+    def answered(rows: Iterator[dict]) -> Iterator[dict]:
+        """Rows with their answers, in order; at most 2 x concurrency of them are held."""
+        with ThreadPoolExecutor(concurrency) as pool:
+            waiting: deque = deque()
+            for row in rows:
+                waiting.append((row, pool.submit(ask, row[prompt_col])))
+                if len(waiting) >= 2 * concurrency:
+                    first, got = waiting.popleft()
+                    yield first | got.result()
+            for first, got in waiting:
+                yield first | got.result()
 
     schema = StructType(list(df.schema.fields))  # add() changes a schema in place
     for field in RESPONSE.split(", "):
         name, kind = field.split()
         schema = schema.add(name, kind)
-    return df.mapInPandas(run, schema)
+    target = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in b.to_pylist())
+        done, out = 0, []
+        for row in answered(rows):
+            out.append(row)
+            done += 1
+            if progress is not None:
+                progress(done)
+            if len(out) >= 64:
+                yield pa.RecordBatch.from_pylist(out, schema=target)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=target)
+
+    return (df.repartition(partitions) if partitions else df).mapInArrow(run, schema)

@@ -26,12 +26,12 @@ def load_object(text: str) -> tuple[dict | None, str | None]:
     except ValueError:
         inner = re.search(r"\{.*\}", text, re.DOTALL)
         if not inner:
-            return None, "No JSON object found in response"
+            return None, rules.NO_OBJECT
         try:
             data = json.loads(inner[0])
         except ValueError as e:
-            return None, f"Invalid JSON in response: {e}"
-    return (data, None) if isinstance(data, dict) else (None, "Response is not a JSON object")
+            return None, f"{rules.BAD_JSON}{e}"
+    return (data, None) if isinstance(data, dict) else (None, rules.NOT_AN_OBJECT)
 
 
 def _text(x: object) -> str | None:
@@ -42,9 +42,9 @@ def read_generated(text: str) -> dict:
     data, error = load_object(text)
     if data is not None:
         if "decision" not in data:
-            error = "Missing 'decision' field"
+            error = rules.NO_DECISION
         elif data["decision"] not in ("generate", "skip"):
-            error = f"Invalid decision: {data['decision']}"
+            error = f"{rules.BAD_DECISION}{data['decision']}"
         elif data["decision"] == "generate":
             error = next((f"Missing {k} for generate decision" for k in ("kb_filename", "kb_content") if not data.get(k)), None)
     if error:
@@ -57,17 +57,17 @@ def read_problem(p: object) -> dict:
     if isinstance(p, dict):
         given = {"category": "unknown", "claim": "", "issue": "", "severity": "minor"} | p
         return {k: _text(given[k]) for k in ("category", "claim", "issue", "severity")}
-    issue = p if isinstance(p, str) else f"Unexpected problem entry type: {type(p).__name__}"
-    return {"category": "malformed_llm_output", "claim": "", "issue": issue, "severity": "minor"}
+    issue = p if isinstance(p, str) else f"{rules.BAD_PROBLEM}{type(p).__name__}"
+    return {"category": rules.MALFORMED_CATEGORY, "claim": "", "issue": issue, "severity": "minor"}
 
 
 def read_verified(text: str) -> dict:
     data, error = load_object(text)
     if data is not None:
         if "decision" not in data:
-            error = "Missing 'decision' field"
+            error = rules.NO_DECISION
         elif data["decision"] not in ("PASS", "FLAG"):
-            error = f"Invalid decision: {data['decision']}"
+            error = f"{rules.BAD_DECISION}{data['decision']}"
         elif not isinstance(data.get("problems") or [], list):
             error = "problems is not a list"
     if error:
@@ -115,19 +115,25 @@ def generation_results(responses: DataFrame, platform: str | None = None) -> Dat
 
 def unique_names(names: DataFrame, group: str = "doc_id", order: str = "seq", name: str = "kb_filename") -> DataFrame:
     """Adds file_name: the slug, with -2, -3 ... where it is taken. As an earlier name may
-    look like a numbered one, the names of a document are given out one after the other."""
+    look like a numbered one, the names of a document are given out one after the other.
+
+    A slug remembers the number it got to, as names are never given back: linear in the names.
+    Null names count as empty ones.
+    """
 
     def give(f: pd.DataFrame) -> pd.DataFrame:
         taken: set[str] = set()
+        reached: dict[str, int] = {}
         out = []
-        f = f.sort_values(order)
+        f = f.sort_values(order, kind="stable")
         for base in f["_slug"]:
-            got, i = base, 2
+            got, i = base, reached.get(base, 2)
             while got in taken:
                 got, i = f"{base}-{i}", i + 1
             taken.add(got)
+            reached[base] = i
             out.append(got)
         return f.assign(file_name=out).drop(columns="_slug")
 
-    bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"\.md$", "")
+    bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"\.md\z", "")
     return names.withColumn("_slug", slug(bare)).groupBy(group).applyInPandas(give, StructType([*names.schema.fields, StructField("file_name", StringType())]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import rules
@@ -107,6 +107,25 @@ def with_prompts(units: DataFrame, document_title: Column, template: str = PROMP
     return u.withColumn("user_prompt", fill(template, values))
 
 
-def first_units(units: DataFrame, n: int, order: tuple[str, ...] = ("doc_id", "chapter_idx", "pos", "sub")) -> DataFrame:
-    """The first n units; all where n is 0. Taken before prompts are built."""
-    return units.orderBy(*order).limit(n) if n else units
+def first_units(units: DataFrame, n: int, order: tuple[str, ...] = ("chapter_idx", "pos", "sub")) -> DataFrame:
+    """The first n units of each document; all where n is 0. Taken before prompts are built."""
+    if not n:
+        return units
+    w = Window.partitionBy("doc_id").orderBy(*order)
+    return units.withColumn("_row", F.row_number().over(w)).where(F.col("_row") <= n).drop("_row")
+
+
+def skip_advice(units: DataFrame) -> DataFrame:
+    """An extension, not parity: adds skip_advice, why a unit may be of no use, or null. The
+    checkable ones of the rules that a generator is given."""
+    title, text = F.lower(F.col("section_title")), F.col("content")
+    lines = F.filter(F.split(text, "\n"), lambda x: strip(x) != "")
+    points = F.size(F.filter(lines, lambda x: x.rlike(r"(?i)^\s*(?:see|refer to|for more information)\b")))
+    mibs = F.size(F.filter(lines, lambda x: x.rlike(r"(?i)\bmibs?\b|-MIB\b")))
+    why = (
+        F.when(title.contains("additional references"), "additional references")
+        .when((F.size(lines) > 0) & (points == F.size(lines)), "cross-reference only")
+        .when((F.size(lines) > 0) & (2 * mibs > F.size(lines)), "MIB list")
+        .when(F.col("word_count") < rules.USEFUL_WORDS, "fewer than 50 words")
+    )
+    return units.withColumn("skip_advice", why)

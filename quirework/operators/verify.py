@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import rules
-from quirework.functions.text import title_form, title_of_id
+from quirework.functions.text import squeeze, strip, title_form, title_of_id
 from quirework.operators.responses import parse_verified
 
 FRONT = "ok boolean, error string, body string, id string, chapter string, pages array<bigint>, front string"
@@ -69,19 +69,26 @@ def match_chapters(drafts: DataFrame, chapters: DataFrame) -> DataFrame:
 def match_sections(drafts: DataFrame, sections: DataFrame) -> DataFrame:
     """(doc_id, kb, chapter_idx, pos, how) of each draft with a chapter: the first section with the
     id's title; else the first with one title within the other, both of 5 characters at least; else the
-    one with the largest page overlap, then the higher level, then the first; without pages the first."""
-    d = drafts.where("chapter_idx IS NOT NULL").withColumn("want", title_form(title_of_id(F.col("kb_id"))))
+    one with the largest page overlap, then the higher level, then the first; without pages the first.
+
+    An equi-join on the title first; only what it leaves over meets the sections of its
+    chapter, titles and pages alone, and is reduced to its best match there.
+    """
+    key = ["doc_id", "kb", "chapter_idx"]
+    d = drafts.where("chapter_idx IS NOT NULL").select(*key, "pages", title_form(title_of_id(F.col("kb_id"))).alias("want"))
     s = sections.select("doc_id", "chapter_idx", "pos", "section_level", "page_start", "page_end", title_form(F.col("section_title")).alias("have"))
-    j = d.join(s, ["doc_id", "chapter_idx"])  # an equi-join within a chapter
+    titles = s.where("have <> ''").groupBy("doc_id", "chapter_idx", "have").agg(F.min("pos").alias("pos"))
+    d = d.join(titles.withColumnRenamed("have", "want"), ["doc_id", "chapter_idx", "want"], "left")
+    equal = d.where("pos IS NOT NULL").select(*key, "pos", F.lit("title").alias("how"))
+    left = d.where("pos IS NULL").drop("pos").join(s, ["doc_id", "chapter_idx"])
     n = F.size("pages")
     overlap = F.greatest(F.lit(0), F.least(F.get("pages", n - 1), "page_end") - F.greatest(F.get("pages", F.lit(0)), "page_start") + 1)
     within = (F.length("want") >= 5) & (F.length("have") >= 5) & (F.col("want").contains(F.col("have")) | F.col("have").contains(F.col("want")))
-    kind = F.when((F.col("want") != "") & (F.col("want") == F.col("have")), 0).when((F.col("want") != "") & within, 1).otherwise(2)
-    by_pages = (kind == 2) & (n > 0)
-    order = F.struct(kind.alias("kind"), F.when(by_pages, -overlap).otherwise(0).alias("o"), F.when(by_pages, F.col("section_level")).otherwise(0).alias("l"), F.col("pos").alias("p"))
-    best = j.groupBy("doc_id", "kb", "chapter_idx").agg(F.min(order).alias("b"))
-    how = F.when(F.col("b.kind") == 0, "title").when(F.col("b.kind") == 1, "title within").otherwise("pages")
-    return best.select("doc_id", "kb", "chapter_idx", F.col("b.p").alias("pos"), how.alias("how"))
+    by_pages = ~within & (n > 0)
+    order = F.struct(F.when(within, 1).otherwise(2).alias("kind"), F.when(by_pages, -overlap).otherwise(0).alias("o"), F.when(by_pages, F.col("section_level")).otherwise(0).alias("l"), F.col("pos").alias("p"))
+    best = left.groupBy(*key).agg(F.min(order).alias("b"))
+    how = F.when(F.col("b.kind") == 1, "title within").otherwise("pages")
+    return equal.unionByName(best.select(*key, F.col("b.p").alias("pos"), how.alias("how")))
 
 
 def source_text(sections: DataFrame) -> DataFrame:
@@ -151,14 +158,36 @@ def report(results: DataFrame) -> DataFrame:
 
 
 def unsupported_tokens(drafts: DataFrame) -> DataFrame:
-    """An extension, not parity: numbers of a draft's text that its source text lacks."""
-    numbers = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(r"\b\d+(?:\.\d+)*\b"), F.lit(0)))
-    return drafts.withColumn("unsupported", F.array_except(numbers(F.col("text")), numbers(F.col("source_text"))))
+    """An extension, not parity: what of a draft's text its source text lacks, of the kinds a verifier must
+    look at: numbers, commands (lines of fenced blocks), models and strong words, each a sorted array."""
+    found = lambda c, p, g=0: F.array_distinct(F.regexp_extract_all(c, F.lit(p), F.lit(g)))
+    text, source = F.col("text"), F.col("source_text")
+    less = lambda p: F.array_sort(F.array_except(found(text, p), found(source, p)))
+    blocks = F.array_join(F.regexp_extract_all(text, F.lit(r"(?s)```[^\n]*\n(.*?)```"), F.lit(1)), "\n")
+    commands = F.array_distinct(F.filter(F.transform(F.split(blocks, "\n"), squeeze), lambda x: x != ""))
+    plain = squeeze(source)
+    strong = rf"\b(?:{'|'.join(rules.STRONG_WORDS)})\b"
+    low = lambda c: found(F.lower(c), strong)
+    out = drafts.withColumn("unsupported_numbers", less(r"\b\d+(?:\.\d+)*\b")).withColumn("unsupported_models", less(r"\b[A-Z]+\d*[A-Z]*-[A-Z0-9]+(?:-[A-Z0-9]+)*\b"))
+    out = out.withColumn("unsupported_commands", F.array_sort(F.filter(commands, lambda x: ~plain.contains(x))))
+    return out.withColumn("unsupported_words", F.array_sort(F.array_except(low(text), low(source))))
+
+
+def missing_headings(drafts: DataFrame) -> DataFrame:
+    """An extension, not parity: adds missing_headings, those that drafts (text, kb_type) of their class must have and lack."""
+    wanted = F.lit(None).cast("array<string>")
+    for kind, heads in rules.REQUIRED_HEADINGS.items():
+        wanted = F.when(F.col("kb_type") == kind, F.array(*map(F.lit, heads))).otherwise(wanted)
+    has = F.transform(F.regexp_extract_all("text", F.lit(r"(?md)^##[ \t]+(.+)$"), F.lit(1)), strip)
+    return drafts.withColumn("missing_headings", F.array_except(wanted, has))
 
 
 def first_drafts(drafts: DataFrame, n: int) -> DataFrame:
-    """The first n drafts by name; all where n is 0."""
-    return drafts.orderBy("doc_id", "kb").limit(n) if n else drafts
+    """The first n drafts of each document by name; all where n is 0."""
+    if not n:
+        return drafts
+    w = Window.partitionBy("doc_id").orderBy("kb")
+    return drafts.withColumn("_row", F.row_number().over(w)).where(F.col("_row") <= n).drop("_row")
 
 
 def group_heads(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:

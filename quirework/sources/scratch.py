@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Temporary folders of local sessions, which end with the process.
+_local: list[str] = []
+#: Scratch folders by application.
+_made: dict[str, list[str]] = {}
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the one folder all executors share.
 
-    Only where that setting is absent (tests, a bare local session) a temporary folder of
-    this machine is used, as driver and executors are then the same process.
+    Without that setting a temporary folder of this machine serves a local master, whose
+    driver and executors are one process; on a cluster it would be another folder on each
+    machine, so there the lack is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="quirework-")
-    return f"{base.rstrip('/')}/quirework-{label}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="quirework-"))
+            atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+        base = f"file://{_local[0]}"
+    path = f"{base.rstrip('/')}/quirework-{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -29,14 +45,40 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application, and so the tables that were read from
+    them: for the end of a run. Returns how many there were."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return len(paths)
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """The names, sizes and times of the files of a table: another one once it is rewritten."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return ()
+    found, files = [], fs.listFiles(hadoop, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 class StageTables:
-    """Stage tables of a session, written once each and read by the stages after them."""
+    """Stage tables of a session, written once each and read by the stages after them.
+
+    A stage is known by its source's files, so a rewritten source gives new tables.
+    """
 
     def __init__(self) -> None:
         self.known: dict[tuple, DataFrame] = {}
 
-    def get(self, spark: SparkSession, source: str, name: str, build) -> DataFrame:
-        key = (spark.sparkContext.applicationId, source, name)
+    def get(self, spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (spark.sparkContext.applicationId, fingerprint(spark, source), source, name)
         if key not in self.known:
             self.known[key] = materialize(build(), name)
         return self.known[key]
