@@ -187,8 +187,8 @@ def cross_pairs(members: DataFrame, facts: DataFrame, least: float, bands: int,
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
     size = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"))
     blocks = lambda n: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
-    size = size.select("key", F.col("top.component").alias("largest"), blocks(F.col("n")).alias("k_all"), blocks(F.col("n") - F.col("top.c")).alias("k_out"))
-    rows = members.join(size, "key").withColumn("outside", F.col("component") != F.col("largest"))
+    size = size.select("key", "n", F.col("top.component").alias("largest"), blocks(F.col("n")).alias("k_all"), blocks(F.col("n") - F.col("top.c")).alias("k_out"))
+    rows = salted_join(members, size, "key", "n", members.count()).withColumn("outside", F.col("component") != F.col("largest"))
     mine = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
     each = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     cols = ["key", "band", "id", "component", "outside", "is_left", "is_right", "lo", "hi"]
