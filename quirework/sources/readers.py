@@ -71,7 +71,7 @@ def read_sections_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     """(chapters, sections) of stored documents; missing optional fields get their defaults."""
     d = spark.read.schema(DOCUMENT_JSON).json(path, multiLine=True).select(F.xxhash64(F.col("_metadata.file_path")).alias("doc_id"), "document_title", F.posexplode("chapters").alias("i", "c"))
     strings = F.array().cast("array<string>")
-    ch = d.select("doc_id", (F.col("i") + 1).cast("long").alias("chapter_idx"), F.col("c.number").alias("chapter_number"), F.col("c.title").alias("chapter_title"), F.coalesce("c.summary", F.lit("")).alias("chapter_summary"), F.coalesce("c.expected_sections", strings).alias("expected_sections"), "c.page_start", "c.page_end", F.col("c.sections").alias("_s"))
-    s = ch.select("doc_id", "chapter_idx", "chapter_number", "chapter_title", "chapter_summary", F.posexplode("_s").alias("pos", "s"))
-    s = s.select("doc_id", "chapter_idx", F.col("pos").cast("long"), "chapter_number", "chapter_title", "s.section_title", "s.section_level", "s.parent_section", "s.page_start", "s.page_end", F.coalesce("s.content", F.lit("")).alias("content"), F.coalesce("s.notes", strings).alias("notes"), F.coalesce("s.word_count", F.lit(0)).cast("long").alias("word_count"), F.coalesce("s.h3_count", F.lit(0)).cast("long").alias("h3_count"), "chapter_summary")
+    ch = d.select("doc_id", "document_title", (F.col("i") + 1).cast("long").alias("chapter_idx"), F.col("c.number").alias("chapter_number"), F.col("c.title").alias("chapter_title"), F.coalesce("c.summary", F.lit("")).alias("chapter_summary"), F.coalesce("c.expected_sections", strings).alias("expected_sections"), "c.page_start", "c.page_end", F.col("c.sections").alias("_s"))
+    s = ch.select("doc_id", "document_title", "chapter_idx", "chapter_number", "chapter_title", "chapter_summary", F.posexplode("_s").alias("pos", "s"))
+    s = s.select("doc_id", "document_title", "chapter_idx", F.col("pos").cast("long"), "chapter_number", "chapter_title", "s.section_title", "s.section_level", "s.parent_section", "s.page_start", "s.page_end", F.coalesce("s.content", F.lit("")).alias("content"), F.coalesce("s.notes", strings).alias("notes"), F.coalesce("s.word_count", F.lit(0)).cast("long").alias("word_count"), F.coalesce("s.h3_count", F.lit(0)).cast("long").alias("h3_count"), "chapter_summary")
     return ch.drop("_s"), s

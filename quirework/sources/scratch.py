@@ -42,7 +42,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    table = df.sparkSession.read.schema(schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`materialize` that nothing reads any more."""
+    _made[table.sparkSession.sparkContext.applicationId].remove(table.scratch_path)
+    _delete(table.sparkSession, table.scratch_path)
 
 
 def drop_scratch(spark: SparkSession) -> int:
@@ -50,8 +63,7 @@ def drop_scratch(spark: SparkSession) -> int:
     them: for the end of a run. Returns how many there were."""
     paths = _made.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _delete(spark, path)
     return len(paths)
 
 

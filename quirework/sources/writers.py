@@ -52,8 +52,9 @@ def extraction_reports(pages: DataFrame) -> DataFrame:
     return d.select("doc_id", names.alias("f")).select(F.concat(F.col("doc_id").cast("string"), F.lit("/"), F.col("f.name"), F.lit(".txt")).alias("path"), "f.content")
 
 
-def sections_json(chapters: DataFrame, sections: DataFrame, warnings: DataFrame) -> DataFrame:
-    """(doc_id, json): the nested document; characters stay as they are."""
+def sections_json(chapters: DataFrame, sections: DataFrame, warnings: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """(doc_id, json): the nested document; characters stay as they are. ``titles``: (doc_id,
+    document_title, source) of the documents, source being the name of the file they come from."""
     fields = ("section_title", "section_level", "parent_section", "page_start", "page_end", "content", "notes", "word_count", "h3_count")
     s = sections.groupBy("doc_id", "chapter_idx").agg(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("s")))).alias("l"))
     s = s.withColumn("sections", F.transform("l", lambda x: x["s"])).drop("l")
@@ -62,13 +63,17 @@ def sections_json(chapters: DataFrame, sections: DataFrame, warnings: DataFrame)
     d = c.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter_idx", row.alias("c")))), lambda x: x["c"]).alias("chapters"))
     w = warnings.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter_idx", "toc_idx", "message"))), lambda x: x["message"]).alias("warnings"))
     d = d.join(w, "doc_id", "left").withColumn("warnings", F.coalesce("warnings", F.array().cast("array<string>")))
-    return d.select("doc_id", F.to_json(F.struct("chapters", "warnings")).alias("json"))
+    if titles is None:
+        d = d.withColumn("document_title", F.lit("")).withColumn("source", F.lit(""))
+    else:
+        d = d.join(titles.select("doc_id", "document_title", "source"), "doc_id", "left")
+    return d.select("doc_id", F.to_json(F.struct("document_title", F.col("source").alias("source_pdf"), "chapters", "warnings")).alias("json"))
 
 
 def section_files(sections: DataFrame) -> DataFrame:
     """(path, content): a markdown file per section, numbered within its chapter."""
     n = F.row_number().over(Window.partitionBy("doc_id", "chapter_idx").orderBy("pos"))
-    name = F.concat(F.format_string("%02d-", n), F.when(F.col("section_level") == 3, "h3-").otherwise(""), slug(F.col("section_title")), F.lit(".md"))
+    name = F.concat(F.lpad(n.cast("string"), F.greatest(F.length(n.cast("string")), F.lit(2)), F.lit("0")), F.lit("-"), F.when(F.col("section_level") == 3, "h3-").otherwise(""), slug(F.col("section_title")), F.lit(".md"))
     folder = F.concat(F.col("doc_id").cast("string"), F.lit("/sections/chapter-"), F.col("chapter_number").cast("string"), F.lit("-"), slug(F.col("chapter_title")), F.lit("/"))
     notes = F.when(F.size("notes") > 0, F.concat(F.lit("\n## Notes\n\n- "), F.array_join("notes", "\n- "), F.lit("\n"))).otherwise("")
     body = F.coalesce(F.nullif("content", F.lit("")), F.lit("(no content)"))
@@ -78,14 +83,23 @@ def section_files(sections: DataFrame) -> DataFrame:
 
 
 def audit_file(decisions: DataFrame) -> DataFrame:
-    """(path, content) per document: the decisions by verdict, with a heading where the
-    chapter or parent changes. Lines are built per row and joined in order."""
-    d = group_heads(decisions.withColumn("_no", ~F.col("accepted")), ["_no", "chapter_number", "parent_section"], ["accepted", "chapter_number", "parent_section", "section_title", "pos"])
+    """(path, content) per document: totals, the reasons of rejection by frequency, and the
+    decisions by verdict, the rejected first, with a heading where the chapter or parent
+    changes. Lines are built per row and joined in order."""
+    d = group_heads(decisions, ["accepted", "chapter_number", "parent_section"], ["accepted", "chapter_number", "parent_section", "section_title", "pos"])
     head = F.when(F.col("is_head"), F.concat(F.when(F.col("accepted"), "\nACCEPTED ").otherwise("\nREJECTED "), F.lit("chapter "), F.col("chapter_number").cast("string"), F.lit(" / "), F.col("parent_section"), F.lit("\n"))).otherwise("")
     line = F.concat(head, F.lit("  - "), F.col("section_title"), F.lit(": "), F.col("reason"))
-    g = d.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("accepted", "chapter_number", "parent_section", "section_title", "pos", line.alias("t")))), lambda x: x["t"]), "\n").alias("content"), F.count(F.lit(1)).alias("n"), F.count_if("accepted").alias("a"))
-    total = F.format_string("subsections: %d\naccepted: %d (%.1f%%)\n", "n", "a", F.col("a") * 100.0 / F.col("n"))
-    return g.select(F.concat(F.col("doc_id").cast("string"), F.lit("/rejected-h3s.txt")).alias("path"), F.concat(total, F.col("content")).alias("content"))
+    order = F.struct("accepted", "chapter_number", "parent_section", "section_title", "pos", line.alias("t"))
+    joined = lambda rows: F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda x: x["t"]), "\n")
+    g = d.groupBy("doc_id").agg(joined(order).alias("content"), F.count(F.lit(1)).alias("n"), F.count_if("accepted").alias("a"))
+    why = decisions.where("NOT accepted").groupBy("doc_id", "reason").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("chapter_idx", "pos")).alias("first"))
+    text = F.concat(F.lit("  "), F.col("n").cast("string"), F.lit("  "), F.col("reason"))
+    why = why.groupBy("doc_id").agg(joined(F.struct((-F.col("n")).alias("o"), "first", text.alias("t"))).alias("reasons"))
+    share = lambda n: n * 100.0 / F.col("n")
+    no = F.col("n") - F.col("a")
+    total = F.format_string("subsections: %d\naccepted: %d (%.1f%%)\nrejected: %d (%.1f%%)\n", "n", "a", share(F.col("a")), no, share(no))
+    reasons = F.when(F.col("reasons").isNotNull(), F.concat(F.lit("\nReasons of rejection:\n"), F.col("reasons"), F.lit("\n"))).otherwise("")
+    return g.join(why, "doc_id", "left").select(F.concat(F.col("doc_id").cast("string"), F.lit("/rejected-h3s.txt")).alias("path"), F.concat(total, reasons, F.col("content")).alias("content"))
 
 
 def draft_files(results: DataFrame) -> DataFrame:
