@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.sources.scratch import materialize, scratch_dir
+from quirework.sources.scratch import discard, materialize, scratch_dir
 
-__all__ = ["arrow_map", "free_name", "keyed_text", "materialize", "salted_join", "scratch_dir", "sliced"]
+__all__ = ["arrow_map", "discard", "free_name", "keyed_text", "materialize", "salted_join", "scratch_dir", "sliced"]
 
 #: Rows that the Python side of an operator handles at once; long texts come in small slices.
 SLICE_ROWS = 512
