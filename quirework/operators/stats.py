@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.functions.text import duration as took
+
+__all__ = ["decision_counts", "latency", "per_document", "ratio", "run_stats", "section_counts", "throughput", "took"]
+
 
 def ratio(a, b):
     return F.when(b == 0, 0.0).otherwise(a / b)

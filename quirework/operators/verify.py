@@ -119,7 +119,7 @@ def prepare(drafts: DataFrame, chapters: DataFrame, sections: DataFrame) -> Data
     where = F.concat(F.lit("Could not find source section for chapter="), F.col("chapter"), F.lit(", pages="), F.coalesce(F.to_json("pages"), F.lit("[]")))
     d = d.withColumn("error_message", F.when(~F.col("ok"), F.concat(F.lit("Frontmatter parse error: "), F.col("error"))).when(F.col("source_text").isNull(), where))
     prompt = F.when(F.col("error_message").isNull(), verifier_prompt(F.col("text"), F.col("source_text")))
-    return d.select("doc_id", "kb", "text", "section_title", "error_message", prompt.alias("user_prompt"))
+    return d.select("doc_id", "kb", "text", "section_title", "source_text", "error_message", prompt.alias("user_prompt"))
 
 
 def verification_results(responses: DataFrame) -> DataFrame:
@@ -161,7 +161,7 @@ def unsupported_tokens(drafts: DataFrame) -> DataFrame:
     """An extension, not parity: what of a draft's text its source text lacks, of the kinds a verifier must
     look at: numbers, commands (lines of fenced blocks), models and strong words, each a sorted array."""
     found = lambda c, p, g=0: F.array_distinct(F.regexp_extract_all(c, F.lit(p), F.lit(g)))
-    text, source = F.col("text"), F.col("source_text")
+    text, source = F.col("text"), F.coalesce("source_text", F.lit(""))
     less = lambda p: F.array_sort(F.array_except(found(text, p), found(source, p)))
     blocks = F.array_join(F.regexp_extract_all(text, F.lit(r"(?s)```[^\n]*\n(.*?)```"), F.lit(1)), "\n")
     commands = F.array_distinct(F.filter(F.transform(F.split(blocks, "\n"), squeeze), lambda x: x != ""))

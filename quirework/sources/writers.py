@@ -37,6 +37,33 @@ def write_files(files: DataFrame, root: str) -> int:
     return files.select("path", "content").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def remove_tree(root: str) -> None:
+    """Delete a folder of files, if it is there."""
+    from pyarrow.fs import FileSystem, FileType
+
+    fs, base = FileSystem.from_uri(root)
+    if fs.get_file_info(base).type == FileType.Directory:
+        fs.delete_dir(base)
+
+
+def remove_files(folders: DataFrame, root: str) -> int:
+    """Delete the folders (path) below ``root`` that are there, from the executors; returns how many."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem, FileType
+
+        fs, base = FileSystem.from_uri(root)
+        n = 0
+        for f in frames:
+            for path in f["path"]:
+                if fs.get_file_info(f"{base}/{path}").type == FileType.Directory:
+                    fs.delete_dir(f"{base}/{path}")
+                    n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    return folders.select("path").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def extraction_reports(pages: DataFrame) -> DataFrame:
     """Per document: the content with page banners, the pages left out with reasons, a summary."""
     banner = F.concat(F.lit("===== PAGE "), F.col("page_number").cast("string"), F.lit(" ====="))

@@ -15,9 +15,9 @@ def page_stream(spark: SparkSession, path: str, schema: str = PAGES, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def classify_stream(pages: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def classify_stream(pages: DataFrame, out: str, checkpoint: str, once: bool = True, title: str = "") -> StreamingQuery:
     """Classified pages appended to a Parquet table; rows need no state, so any file may come late."""
-    w = classify_pages(pages).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append")
+    w = classify_pages(pages, F.lit(title)).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append")
     return (w.trigger(availableNow=True) if once else w).start()
 
 
