@@ -2,18 +2,21 @@
 
 The patterns give the spans ``assign``, ``access`` and ``hex``. The lexer reads source and
 configuration syntax (``name = "x"``, ``name: x``, ``"name": "x"``, ``<name>x</name>``,
-``export NAME=x``, ``a.b['name'] = ...``) into name-literal pairs in order. A right side that
+``export NAME=x``, ``--name x``, ``a.b['name'] = ...``, literals in triple quotes and YAML blocks over
+several lines) into name-literal pairs in order. A right side that
 is a bare name takes the value which that name was last given (constants propagate, also
 along chains), and string concatenations of literals and names are followed. A literal is
 scored by the names it reaches, directly or through constants, and by its own make-up:
-length, character classes and entropy, minus placeholders. Literals that reach
-``threshold`` give ``lexed`` spans, unless a pattern span overlaps them already.
+length, character classes and entropy, minus placeholders and plain words. Literals that reach
+``threshold`` give ``lexed`` spans, unless a pattern span overlaps them already. A PEM block of
+a private key is a literal whose name stands in its own marks: it gives a ``lexed`` span as it is.
 
-A text without any sensitive name can't give a lexed span and is not lexed. Spans count
-code points, the end exclusive, over the whole text.
+A name holds what it was last given in the text; blocks of code don't end a name. A text
+without any sensitive name can't give a lexed span and is not lexed. Spans count code points, the
+end exclusive, over the whole text.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are scanned
-alike. A map without any shuffle.
+alike; an empty table gives no rows. A map without any shuffle.
 """
 
 from __future__ import annotations
@@ -47,13 +50,16 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|changeme|change_me|example|placeholder
 # names are possessive, and a name without a value is taken whole (``run``), so long runs stay linear
 INDEX = re.compile(r"\[\s*+[\"']([^\"'\n]++)[\"']\s*+\]")
 NAME = r"[A-Za-z_$][\w$]*+(?:(?:\.|->|::)[A-Za-z_$][\w$]*+|\[\s*+[\"'][^\"'\n]++[\"']\s*+\]|-[A-Za-z][\w$]*+)*+"
-LITERAL = r"\"[^\"\\\n]*+(?:\\.[^\"\\\n]*+)*+\"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|`[^`\n]*+`"
+LITERAL = r"\"\"\"(?:[^\"\\]++|\\(?s:.)|\"(?!\"\"))*+\"\"\"|'\''(?:[^'\\]++|\\(?s:.)|'(?!''))*+'\''|\"[^\"\\\n]*+(?:\\.[^\"\\\n]*+)*+\"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|`[^`\n]*+`"
 PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?P<name>{NAME})(?P=q)\s*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]*+\+[ \t]*+(?:{LITERAL}|{NAME}))*+|[^\s\"'`,;#<>(){{}}\[\]]+)"
+    rf"(?P<q>[\"']?)(?P<name>{NAME})(?P=q)\s*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+(?![|>][-+\d]*+[ \t]*+\n)(?P<value>(?:{LITERAL}|{NAME})(?:[ \t]*+\+[ \t]*+(?:{LITERAL}|{NAME}))*+|[^\s\"'`,;#<>(){{}}\[\]]+)"
+    rf"|(?P<bq>[\"']?)(?P<bname>{NAME})(?P=bq)[ \t]*+:[ \t]*+[|>][-+\d]*+[ \t]*+\n(?P<block>(?P<indent>[ \t]++)[^\s][^\n]*+(?:\n(?P=indent)[^\n]*+|\n[ \t]*+(?=\n))*+)"
+    rf"|(?<![\w-])--(?P<option>[A-Za-z][\w-]*+)[ \t]++(?P<argument>{LITERAL}|(?!-)[^\s\"'`,;|&<>(){{}}\[\]=:]+)"
     rf"|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<body>[^<>\n]++)</(?P=tag)>"
     rf"|(?P<run>{NAME})",
     re.ASCII,
 )
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----(?:[^-]++|-(?!----END ))*+-----END \1PRIVATE KEY-----")
 PART = re.compile(rf"(?P<literal>{LITERAL})|(?P<name>{NAME})", re.ASCII)
 
 
@@ -92,12 +98,24 @@ def matches(text: str) -> Iterator[re.Match]:
                 yield from (x for x in PAIR.finditer(text, *i.span(1)) if not x["run"])
 
 
+def quotes(literal: str) -> int:
+    """How many characters quote a literal at either end."""
+    if literal[:1] not in ("\"", "'", "`"):
+        return 0
+    return 3 if literal[0] != "`" and len(literal) >= 6 and literal[:3] == literal[0] * 3 else 1
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[Literal | int]]]:
     """(name, the parts of its value) in order: literals, and the numbers of earlier pairs for the constants they set."""
     known: dict[str, int] = {}
     for n, m in enumerate(matches(text)):
         if m["tag"]:
             name, value = m["tag"], [Literal(m["body"], m.start("body"), m.end("body"))]
+        elif m["bname"]:
+            name, value = m["bname"], [Literal(m["block"], m.start("block") + len(m["indent"]), m.end("block"))]
+        elif m["option"]:
+            cut = quotes(m["argument"])
+            name, value = m["option"], [Literal(m["argument"][cut : len(m["argument"]) - cut], m.start("argument") + cut, m.end("argument") - cut)]
         else:
             name, raw, at = m["name"], m["value"], m.start("value")
             value = []
@@ -105,7 +123,8 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal | int]]]:
             if "".join(p[0] for p in parts) == re.sub(r"[ \t+]", "", raw) or any(p["literal"] for p in parts):
                 for p in parts:
                     if p["literal"]:
-                        value.append(Literal(p[0][1:-1], at + p.start() + 1, at + p.end() - 1))
+                        cut = quotes(p[0])
+                        value.append(Literal(p[0][cut:-cut], at + p.start() + cut, at + p.end() - cut))
                     elif p[0] in known:
                         value.append(known[p[0]])
                     elif len(parts) == 1:
@@ -134,9 +153,13 @@ def weight(name: str) -> float:
 
 
 def score(sensitive: float, literal: str) -> float:
-    """Between 0 and about 1.2: the weight of its name plus what the literal looks like."""
+    """Between 0 and about 1.2: the weight of its name plus what the literal looks like. Lines of
+    one literal count as one run."""
+    literal = "".join(map(str.strip, literal.splitlines()))
     if not sensitive or len(literal) < 8 or " " in literal or PLACEHOLDER.match(literal):
         return 0.0
+    if literal.isalpha() and (literal.islower() or literal[1:].islower()):
+        sensitive -= 0.2  # a word as prose has it
     classes = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return sensitive + 0.1 * (classes - 1) + 0.1 * (len(literal) >= 16) + 0.2 * (entropy(literal) >= 3.0)
 
@@ -157,6 +180,8 @@ def scan_text(text: str, threshold: float = 0.8) -> list[Span]:
                 elif score(weights[n], x.text) >= threshold and not any(a < x.end and x.start < b for a, b in taken):
                     lexed.add(Span("lexed", x.start, x.end))
         spans += lexed
+    if "PRIVATE KEY-----" in text:
+        spans += [x for m in PEM.finditer(text) if (x := Span("lexed", *m.span())) not in spans]
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 
