@@ -3,16 +3,19 @@
 A text is split into sentences, a sentence is normalised (lower case, one spelling of
 *licence*, punctuation to spaces) and mapped to the identifier of a known licence sentence.
 The sequence of identifiers of a text, repeats that follow one another merged, is matched from the
-left against an ordered list of rules, each a sequence of identifiers with optional parts; the first rule that fits at a place names the licence and
-consumes its identifiers. Identifiers no rule takes are reported as they are.
+left against an ordered list of rules, each a sequence of identifiers with optional parts; the
+first rule that fits at a place names the licence and consumes its identifiers. Identifiers no rule
+takes are reported as they are. A sentence may state more of the name, such as a version or the
+name itself in an SPDX tag: what its pattern's group ``more`` holds goes into the ``*`` of the
+rule's licence, where that has one.
 
 A sentence can only be known if it has one of the stems of ``STEMS``, words derived from the
 table so that each known sentence holds one; texts and sentences without any are passed over
 after a substring search, which changes no result.
 
 Defined results: a null or empty text has no sentences and no licence; repeated rows are
-scanned alike; sentences broken over lines are joined, a blank line ends one. A map without
-any shuffle, over whole texts.
+scanned alike; sentences broken over lines are joined, a blank line ends one; an empty table
+gives no rows. A map without any shuffle, over whole texts.
 """
 
 from __future__ import annotations
@@ -57,16 +60,30 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("gpl.copy", r"you should have received a copy of the gnu"),
     ("gpl.later", r"or at your option any later version"),
     ("mpl.2.ref", r"mozilla public license v(?:ersion |)? ?2"),
+    ("spdx.ref", r"spdx license identifier (?P<more>[a-z0-9]+(?: (?!spdx\b)[a-z0-9]+){0,11})"),
+    ("epl.ref", r"eclipse public license(?: v(?:ersion )?)? ?(?P<more>[12] ?0)"),
+    ("cddl.ref", r"common development and distribution license(?: v(?:ersion )?)? ?(?P<more>1 ?[01])"),
+    ("artistic.ref", r"artistic license(?: v(?:ersion )?)? ?(?P<more>[12] ?0)"),
+    ("eupl.ref", r"european union public license(?: v(?:ersion )?)? ?(?P<more>1 ?[012])"),
+    ("bsl.ref", r"boost software license(?: v(?:ersion )?)? ?1 ?0"),
+    ("ofl.ref", r"sil open font license(?: v(?:ersion )?)? ?1 ?[01]"),
+    ("wtfpl.ref", r"do what the fuck you want to public license"),
+    ("zlib.asis", r"this software is provided as is without any express or implied warranty"),
+    ("zlib.grant", r"permission is granted to anyone to use this software for any purpose including commercial applications"),
+    ("zlib.origin", r"the origin of this software must not be misrepresented"),
+    ("zlib.marked", r"altered source versions must be plainly marked as such"),
+    ("zlib.notice", r"this notice may not be removed or altered from any source distribution"),
+    ("zlib.ref", r"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?:terms of the )?zlib license"),
     ("mit.ref", r"(?:licen[sc]ed|released|distributed|available|provided|published) under (?:the )?(?:terms of the )?mit(?: \w+)? license|^(?:the )?mit license(?: mit)?$"),
     ("bsd.ref", r"(?:licen[sc]ed|released|distributed|available) under (?:the |a )?(?:terms of the )?(?:[23] clause )?(?:modified )?bsd(?: style)? license"),
     ("isc.ref", r"(?:licen[sc]ed|released|distributed) under (?:the )?isc license"),
     ("cc.zero", r"\bcc0\b|creative commons zero"),
-    ("cc.by.nc.nd", r"\bcc by nc nd\b|attribution noncommercial noderiv(?:ative)?s"),
-    ("cc.by.nc.sa", r"\bcc by nc sa\b|attribution noncommercial sharealike"),
-    ("cc.by.nc", r"\bcc by nc\b|attribution noncommercial"),
-    ("cc.by.nd", r"\bcc by nd\b|attribution noderiv(?:ative)?s"),
-    ("cc.by.sa", r"\bcc by sa\b|attribution sharealike"),
-    ("cc.by", r"\bcc by\b|creative commons attribution"),
+    ("cc.by.nc.nd", r"(?:\bcc by nc nd\b|attribution noncommercial noderiv(?:ative)?s)(?: (?P<more>[1-4] [05])\b)?"),
+    ("cc.by.nc.sa", r"(?:\bcc by nc sa\b|attribution noncommercial sharealike)(?: (?P<more>[1-4] [05])\b)?"),
+    ("cc.by.nc", r"(?:\bcc by nc\b|attribution noncommercial)(?: (?P<more>[1-4] [05])\b)?"),
+    ("cc.by.nd", r"(?:\bcc by nd\b|attribution noderiv(?:ative)?s)(?: (?P<more>[1-4] [05])\b)?"),
+    ("cc.by.sa", r"(?:\bcc by sa\b|attribution sharealike)(?: (?P<more>[1-4] [05])\b)?"),
+    ("cc.by", r"(?:\bcc by\b|creative commons attribution)(?: (?P<more>[1-4] [05])\b)?"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
     ("public.domain", r"(?:released|placed|dedicated|is) (?:in|into|to) the public domain"),
     ("reserved", r"\ball rights reserved\b"),
@@ -74,7 +91,7 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("copyright", r"^(?:c )?copyright\b|^© ?"),
 )
 
-# Licence and its sequence of sentence identifiers; "?" marks an optional one.
+# Licence and its sequence of sentence identifiers; "?" marks an optional one, "*" what a sentence states.
 RULES: tuple[tuple[str, str], ...] = (
     ("MIT", "copyright? reserved? mit.ref? copyright? mit.grant mit.notice asis.software mit.liable?"),
     ("BSD-4-Clause", "copyright? reserved? bsd.grant bsd.source bsd.binary bsd.advert bsd.endorse? bsd.asis bsd.liable?"),
@@ -95,16 +112,26 @@ RULES: tuple[tuple[str, str], ...] = (
     ("GPL-2.0", "copyright? gpl.2.ref gpl.hope? gpl.copy?"),
     ("GPL", "copyright? gpl.ref gpl.later? gpl.hope? gpl.copy?"),
     ("MPL-2.0", "copyright? mpl.2.ref"),
+    ("*", "copyright? reserved? spdx.ref"),
+    ("EPL*", "copyright? epl.ref"),
+    ("CDDL*", "copyright? cddl.ref"),
+    ("Artistic*", "copyright? artistic.ref"),
+    ("EUPL*", "copyright? eupl.ref"),
+    ("BSL-1.0", "copyright? bsl.ref"),
+    ("OFL-1.1", "copyright? reserved? ofl.ref"),
+    ("WTFPL", "copyright? wtfpl.ref"),
+    ("Zlib", "copyright? zlib.ref? zlib.asis? zlib.grant zlib.origin? zlib.marked? zlib.notice?"),
+    ("Zlib", "copyright? zlib.ref"),
     ("MIT", "copyright? reserved? mit.ref"),
     ("BSD", "copyright? reserved? bsd.ref"),
     ("ISC", "copyright? reserved? isc.ref"),
     ("CC0-1.0", "copyright? cc.zero"),
-    ("CC-BY-NC-ND", "copyright? cc.by.nc.nd"),
-    ("CC-BY-NC-SA", "copyright? cc.by.nc.sa"),
-    ("CC-BY-NC", "copyright? cc.by.nc"),
-    ("CC-BY-ND", "copyright? cc.by.nd"),
-    ("CC-BY-SA", "copyright? cc.by.sa"),
-    ("CC-BY", "copyright? cc.by"),
+    ("CC-BY-NC-ND*", "copyright? cc.by.nc.nd"),
+    ("CC-BY-NC-SA*", "copyright? cc.by.nc.sa"),
+    ("CC-BY-NC*", "copyright? cc.by.nc"),
+    ("CC-BY-ND*", "copyright? cc.by.nd"),
+    ("CC-BY-SA*", "copyright? cc.by.sa"),
+    ("CC-BY*", "copyright? cc.by"),
     ("Unlicense", "unlicense asis.software?"),
     ("Public-Domain", "public.domain"),
     ("Proprietary", "copyright? reserved no.copying?"),
@@ -112,7 +139,8 @@ RULES: tuple[tuple[str, str], ...] = (
 )
 
 # possessive, so that long runs of white space stay linear
-SENTENCE_END = re.compile(r"(?<=[.!?;])\s++|\n[^\S\n]*+\n\s*+|\n(?=\s*+(?:[#*/\-]++\s*+)?(?:©|\([Cc]\)|[Cc]opyright\b))|(?<=:)[^\S\n]*+\n")
+SENTENCE_END = re.compile(r"(?<=[.!?;])(?<!\b[vV]\.)\s++|\n[^\S\n]*+\n\s*+|\n(?=\s*+(?:[#*/\-]++\s*+)?(?:©|\([Cc]\)|[Cc]opyright\b))|(?<=:)[^\S\n]*+\n")
+TAG = re.compile(r"(?i)(SPDX-License-Identifier:[^\n]*+)\n")
 COMMENT = re.compile(r"(?m)^[ \t]*(?://+|#+|\*+|--|;+)[ \t]?")
 
 
@@ -133,6 +161,11 @@ def normalise(sentence: str) -> str:
     return s.strip()
 
 
+def sentences_of(text: str) -> list[str]:
+    """The sentences of a text without marks of comments; a licence tag ends with its line."""
+    return SENTENCE_END.split(TAG.sub(r"\1\n\n", COMMENT.sub("", text)))
+
+
 def _held(tree) -> set[str]:
     """Words of which each match of a parsed pattern holds one: the longest to be had; {""} if there are none."""
     choices, run = [], ""
@@ -167,8 +200,8 @@ class Scanner:
         self.rules = [(name, [(x.removesuffix("?"), x.endswith("?")) for x in seq.split()]) for name, seq in rules]
         self.stems = stems_of(sentences) if stems is None else stems
 
-    def identify(self, text: str) -> list[tuple[str, int]]:
-        """(identifier, number of the sentence) of the known sentences, in order.
+    def identify(self, text: str) -> list[tuple[str, int, str]]:
+        """(identifier, number of the sentence, what it states) of the known sentences, in order.
 
         A sentence may be known by several identifiers (a licence and "or any later
         version"): all count, in the order in which they stand in it, but of overlapping
@@ -177,18 +210,18 @@ class Scanner:
         low = spelled(text)
         if not any(s in low for s in self.stems):
             return []
-        out: list[tuple[str, int]] = []
-        for n, raw in enumerate(SENTENCE_END.split(COMMENT.sub("", text))):
+        out: list[tuple[str, int, str]] = []
+        for n, raw in enumerate(sentences_of(text)):
             low = spelled(raw)
             if not any(s in low for s in self.stems):
                 continue
             s, taken = normalise(raw), []
             for key, p in self.sentences:
-                if (m := p.search(s)) and not any(a < m.end() and m.start() < b for a, b, _ in taken):
-                    taken.append((m.start(), m.end(), key))
-            for _, _, key in sorted(taken):
-                if not out or out[-1][0] != key:
-                    out.append((key, n))
+                if (m := p.search(s)) and not any(a < m.end() and m.start() < b for a, b, *_ in taken):
+                    taken.append((m.start(), m.end(), key, m.groupdict().get("more") or ""))
+            for _, _, key, more in sorted(taken):
+                if not out or (out[-1][0], out[-1][2]) != (key, more):
+                    out.append((key, n, more))
         return out
 
     def _fit(self, ids: list[str], at: int, seq: list[tuple[str, bool]]) -> int:
@@ -201,12 +234,15 @@ class Scanner:
                 return 0
         return i - at
 
-    def recognise(self, ids: list[str]) -> list[Found]:
+    def recognise(self, found: list[tuple[str, int, str]]) -> list[Found]:
+        """The licences of what :meth:`identify` found."""
+        ids = [k for k, *_ in found]
         out, at = [], 0
         while at < len(ids):
             for name, seq in self.rules:
                 if n := self._fit(ids, at, seq):
-                    out.append(Found(name, tuple(ids[at : at + n])))
+                    stated = [x[2] for x in found[at : at + n] if x[2]]
+                    out.append(Found(complete(name, stated[0] if stated else ""), tuple(ids[at : at + n])))
                     at += n
                     break
             else:
@@ -215,6 +251,16 @@ class Scanner:
         return out
 
 
+def complete(name: str, stated: str) -> str:
+    """A rule's licence with what a sentence states of it in place of ``*``: digits of a version
+    are joined by dots, words by dashes."""
+    if "*" not in name:
+        return name
+    version = re.sub(r"(?<=\d) ?(?=\d)", ".", stated) if name != "*" else re.sub(r"(?<=\d) (?=\d)", ".", stated)
+    version = version.replace(" ", "-")
+    return name.replace("*", f"-{version}" if version and name != "*" else version)
+
+
 def scan_documents(docs: DataFrame, scanner: Scanner | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, sentences array<string>, licenses array<string>): identifiers in order, and the
     names found by the rules in order of first appearance, without repeats."""
@@ -225,8 +271,8 @@ def scan_documents(docs: DataFrame, scanner: Scanner | None = None, id_col: str
         for b in sliced(batches):
             ids, names = [], []
             for text in b.column("text").to_pylist():
-                found = [k for k, _ in scanner.identify(text)]
-                ids.append(found)
+                found = scanner.identify(text)
+                ids.append([k for k, *_ in found])
                 names.append(list(dict.fromkeys(x.name for x in scanner.recognise(found))))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(ids, strings), pa.array(names, strings)], ["id", "sentences", "licenses"])
 
