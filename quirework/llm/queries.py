@@ -184,7 +184,8 @@ r(verdict, name, rhost, rpath) AS (VALUES
   ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
   ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
   ('block', 'com/de/', 'com', '/de/')),
-g(glob_re) AS (VALUES ('^\.[^/]*/cgi-bin/.*$'), ('^.*/wp-login\.php$'), ('^.*/wp-admin/.*$'), ('^.*/xmlrpc\.php$')),
+g(glob_re) AS (VALUES ('\.[^/]*/cgi-bin/.*'), ('.*/(wp-login|xmlrpc)\.php'), ('.*/(wp-admin|wp-json|checkout)/.*'), ('.*/(login|signin|signup|register|logout|cart|checkout|feed|feed/|rss\.xml|atom\.xml|robots\.txt)'),
+  ('.*/sitemap[^/]*\.xml'), ('[^/]*/.*\.(css|js|json|jpg|jpeg|png|gif|svg|ico|webp|mp3|mp4|avi|zip|gz|exe|dmg|woff|woff2)')),
 j AS (
   SELECT u.page_id, u.host, u.path,
          arg_max(struct_pack(name := r.name, verdict := r.verdict), length(r.name)) AS best
@@ -192,7 +193,7 @@ j AS (
   GROUP BY ALL)
 SELECT page_id, host, path, best.name AS rule,
        CASE WHEN best.name IS NOT NULL THEN best.verdict
-            WHEN EXISTS (SELECT 1 FROM g WHERE regexp_full_match('.' || j.host || j.path, glob_re)) THEN 'block'
+            WHEN EXISTS (SELECT 1 FROM g WHERE regexp_full_match('.' || j.host || j.path, '(?s)' || glob_re)) THEN 'block'
             ELSE 'allow' END AS verdict
 FROM j
 """

@@ -3,15 +3,17 @@
 Glob rules are packed side by side into one multiword Shift-And machine: one bit per glob
 element, all patterns advance together over each canonical URL. A machine word holds 64
 bits; a rule set of any length takes as many words as it needs. The automaton is stepped
-for a whole batch of URLs at a time, one character column after the other (numpy), so the
-cost is (longest URL x words) vector operations a batch.
+for a batch of URLs of about the same length at a time, one character column after the other
+(numpy), so the cost is (longest URL x words) vector operations a batch, and a very long URL
+takes no room but its own.
 
 Glob language: ``*`` any run of bytes except ``/``; ``**`` any run of bytes; ``?`` one
 byte; anything else itself. Matching is anchored at both ends over UTF-8 bytes.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and canonical
 form ``.``; an empty rule set matches nothing; of several matching rules of one list the
-longest wins, ties go to the earlier rule. Repeated rows are judged alike.
+longest wins, ties go to the earlier rule. Repeated rows are judged alike; null ids stay; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,13 +48,13 @@ class GlobRule:
     glob: str
 
 
-#: The default list of plain globs: machine endpoints that hold no prose.
-DEFAULT_GLOBS = (
-    GlobRule("block", "*/cgi-bin/**"),
-    GlobRule("block", "**/wp-login.php"),
-    GlobRule("block", "**/wp-admin/**"),
-    GlobRule("block", "**/xmlrpc.php"),
-)
+#: The default list of plain globs: endpoints that hold no prose but forms, feeds, lists and files.
+DEFAULT_GLOBS = tuple(GlobRule("block", g) for g in (
+    "*/cgi-bin/**", "**/wp-login.php", "**/wp-admin/**", "**/wp-json/**", "**/xmlrpc.php",
+    "**/login", "**/signin", "**/signup", "**/register", "**/logout", "**/cart", "**/checkout", "**/checkout/**",
+    "**/feed", "**/feed/", "**/rss.xml", "**/atom.xml", "**/sitemap*.xml", "**/robots.txt",
+    "*/**.css", "*/**.js", "*/**.json", "*/**.jpg", "*/**.jpeg", "*/**.png", "*/**.gif", "*/**.svg", "*/**.ico", "*/**.webp", "*/**.mp3", "*/**.mp4", "*/**.avi", "*/**.zip", "*/**.gz", "*/**.exe", "*/**.dmg", "*/**.woff", "*/**.woff2",
+))
 
 
 class ShiftAnd:
@@ -94,28 +96,41 @@ class ShiftAnd:
         for s in first:
             self.start[s // 64] |= one << np.uint64(s % 64)
 
-    def match(self, urls: Sequence[bytes]) -> np.ndarray:
-        """Boolean matrix URL x glob."""
+    def match(self, urls: Sequence[bytes], room: int = 1 << 22) -> np.ndarray:
+        """Boolean matrix URL x glob. URLs are stepped in groups by length, of ``room`` bytes at most
+        or one URL, so that none is padded to more than its group's longest."""
         n = len(urls)
         out = np.zeros((n, self.n), bool)
-        order = np.argsort([len(u) for u in urls], kind="stable")[::-1]
-        lengths = np.array([len(urls[i]) for i in order], np.int64)
         if not n or not self.n:
             return out
-        flat = np.zeros((n, max(1, int(lengths[0]))), np.uint8)
-        for r, i in enumerate(order):
-            flat[r, : lengths[r]] = np.frombuffer(urls[i], np.uint8)
-        state = np.repeat(self.start[None, :], n, 0)
+        lengths = np.array([len(u) for u in urls], np.int64)
+        order = np.argsort(-lengths, kind="stable")
+        at = 0
+        while at < n:
+            longest = max(1, int(lengths[order[at]]))
+            # a group ends where URLs get shorter than half its longest
+            half = int(np.searchsorted(-lengths[order], -(longest // 2), "left"))
+            end = max(at + 1, min(n, at + room // longest, max(half, at + 1)))
+            self._step(urls, order[at:end], lengths, out)
+            at = end
+        return out
+
+    def _step(self, urls: Sequence[bytes], rows: np.ndarray, lengths: np.ndarray, out: np.ndarray) -> None:
+        """All globs over URLs by falling length."""
+        sizes = lengths[rows]
+        flat = np.zeros((len(rows), max(1, int(sizes[0]))), np.uint8)
+        for r, i in enumerate(rows):
+            flat[r, : sizes[r]] = np.frombuffer(urls[i], np.uint8)
+        state = np.repeat(self.start[None, :], len(rows), 0)
         top = np.uint64(63)
-        for col in range(int(lengths[0])):
-            live = int(np.searchsorted(-lengths, -col, "left"))  # URLs longer than col
+        live_at = np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left")  # URLs longer than each column
+        for col, live in enumerate(live_at.tolist()):
             s, c = state[:live], flat[:live, col]
             shifted = s << np.uint64(1)
             shifted[:, 1:] |= s[:, :-1] >> top
             state[:live] = (shifted & self.enter[c]) | (s & self.keep[c])
         for g, f in enumerate(self.final):
-            out[order, g] = (state[:, f // 64] >> np.uint64(f % 64)) & np.uint64(1) == 1
-        return out
+            out[rows, g] = (state[:, f // 64] >> np.uint64(f % 64)) & np.uint64(1) == 1
 
 
 def host_of(url: Column) -> Column:

@@ -19,10 +19,10 @@ def regex_of(glob):
 
 def test_automaton_equals_regular_expressions():
     rng = random.Random(8)
-    for _ in range(60):
+    for turn in range(60):
         globs = ["".join(rng.choice(("a", "b", "/", "*", "**", "?", ".")) for _ in range(rng.randrange(0, 9))) for _ in range(rng.choice((1, 5, 40)))]
-        urls = ["".join(rng.choice("ab/.c") for _ in range(rng.randrange(0, 14))).encode() for _ in range(40)]
-        got = ShiftAnd(globs).match(urls)
+        urls = ["".join(rng.choice("ab/.c") for _ in range(rng.randrange(0, 14) * rng.choice((1, 1, 9)))).encode() for _ in range(40)]
+        got = ShiftAnd(globs).match(urls, room=(1 << 22, 60, 1)[turn % 3])
         for i, u in enumerate(urls):
             for j, g in enumerate(globs):
                 assert got[i, j] == bool(regex_of(g).fullmatch(u)), (g, u)
@@ -53,3 +53,21 @@ def test_verdicts(spark):
     assert got == sorted((i, r or "", v) for i, _, r, v in rows)
     assert filter_urls(pages.where("page_id < 0"), rules).count() == 0
     assert {r.verdict for r in filter_urls(pages, [], [GlobRule("block", "**")]).collect()} == {"block"}
+
+
+def test_one_very_long_url_takes_no_room_of_others(spark):
+    import resource
+
+    long = b"a" * 3_000_000 + b"/wp-login.php"
+    m = ShiftAnd(["**/wp-login.php", "*b"])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    hit = m.match([b"xb", long, *[b"c"] * 2000])
+    assert hit[0].tolist() == [False, True] and hit[1].tolist() == [True, False] and hit.sum() == 2
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
+
+
+def test_null_ids_and_default_globs(spark):
+    urls = ["http://x.zip", "http://x.zip/", "http://x.net/a.zip", "http://x.net/a.zip?q", "http://x.net/a.zips", "http://x.net/a/feed", "http://x.net/feeds", "http://x.net/a/sitemap-1.xml", "http://x.net/json"]
+    pages = spark.createDataFrame([(None, u) for u in urls], "page_id long, url string")
+    got = {r.host + r.path: r.verdict for r in filter_urls(pages, []).collect()}
+    assert [k for k, v in got.items() if v == "block"] == ["x.net/a.zip", "x.net/a/feed", "x.net/a/sitemap-1.xml"]
