@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.common import materialize, salted_join
+from quirework.llm.common import discard, materialize, salted_join
 
 
 def _with_least(e: DataFrame, total: int, hot: int) -> DataFrame:
@@ -52,8 +52,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if _at_rest(e):
             break
         total = e.count()  # never grows from round to round
-        e = materialize(_small_star(_large_star(e, total, hot), total, hot), "edges")
+        last, e = e, materialize(_small_star(_large_star(e, total, hot), total, hot), "edges")
+        discard(last)
     else:
         raise RuntimeError(f"components did not rest after {max_rounds} rounds")
     # at rest every vertex points at the root of its star
-    return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
+    out = e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
+    out.scratch_path = e.scratch_path  # discarding it discards its edges
+    return out

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.common import arrow_map, free_name, keyed_text, materialize, salted_join, sliced
+from quirework.llm.common import arrow_map, discard, free_name, keyed_text, materialize, salted_join, sliced
 from quirework.llm.components import connected_components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -271,8 +271,11 @@ def rare_pairs(facts: DataFrame, percent: int, rare: int) -> tuple[DataFrame, Da
     mates = met.where(F.col("g") <= rare).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("id", "component", "n"))).alias("m"))
     near = lambda x, y: (x["component"] != y["component"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
     pairs = mates.select(F.explode("m").alias("x"), "m").select("x", F.explode(F.filter("m", lambda y: y["id"] > F.col("x.id"))).alias("y"))
-    pairs = pairs.where(near(F.col("x"), F.col("y"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return pairs, met.where(F.col("g") > rare).select("id").distinct()
+    pairs = materialize(pairs.where(near(F.col("x"), F.col("y"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
+    frequent = materialize(met.where(F.col("g") > rare).select("id").distinct(), "frequent")
+    for table in (tokens, front, met):
+        discard(table)
+    return pairs, frequent
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 28, rows: int = 4, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 2_000_000, rare: int = 32, offers: int = 2, rounds: int = 2) -> DataFrame:
@@ -296,33 +299,48 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         ids = materialize(wanted.distinct(), "ids")
         few = ids.count() <= broadcast_ids
         texts = keyed_text(docs, id_col, text_col).join(F.broadcast(ids) if few else ids, "id", "left_semi")
-        return materialize(shingle_sets(texts, width), "sets")
+        sets = materialize(shingle_sets(texts, width), "sets")
+        discard(ids)
+        return sets
 
     def confirmed(pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         near = materialize(pairs, "near")
+        known = sets if sets is not None else sets_of(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))))
+        links = materialize(sets_agree(near, known, percent), "links")
+        discard(near)
         if sets is None:
-            sets = sets_of(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))))
-        return materialize(sets_agree(near, sets, percent), "links")
+            discard(known)
+        return links
 
     def mixed_buckets(component: DataFrame, among: DataFrame | None = None) -> DataFrame:
         rows = shared.where("n > 2") if among is None else shared.where("n > 2").join(among, "id", "left_semi")
         rows = rows.join(component, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
         rows = materialize(rows, "members")
         mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("key", "n")
-        return materialize(salted_join(rows, mixed, "key", "n", rows.count()).drop("n"), "mixed")
+        mixed = materialize(salted_join(rows, mixed, "key", "n", rows.count()).drop("n"), "mixed")
+        discard(rows)
+        return mixed
 
-    def grown(component: DataFrame, links: DataFrame) -> DataFrame:
+    def grown(component: DataFrame | None, links: DataFrame) -> DataFrame:
         """Components with more links: the stars so far stand for all links before."""
-        return connected_components(component.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(links))
-
-    component = connected_components(confirmed(signatures_agree(candidates, reps, least)))
+        if component is None:
+            new = connected_components(links)
+        else:
+            new = connected_components(component.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(links))
+            discard(component)
+        if hasattr(links, "scratch_path"):
+            discard(links)
+        return new
+
+    component = grown(None, confirmed(signatures_agree(candidates, reps, least)))
     rest = mixed_buckets(component)
     if not rest.isEmpty():
-        open_ids = rest.select("id", "component").distinct()
+        open_ids = materialize(rest.select("id", "component").distinct(), "open")
+        discard(rest)
         sets = sets_of(open_ids.select("id"))
         pairs, frequent = rare_pairs(open_ids.join(sets, "id"), percent, rare)
-        frequent = materialize(frequent, "frequent")
         component = grown(component, confirmed(signatures_agree(pairs, reps, least), sets))
+        discard(pairs)
         tested = candidates.where("false")
         for _ in range(rounds):
             rest = mixed_buckets(component, frequent)
@@ -330,6 +348,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
                 break
             pairs = cross_pairs(rest, reps, least, bands, percent, offers)
             pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "offers")
+            discard(rest)
             if pairs.isEmpty():
                 break  # the best partners are all tested; the others follow below
             tested = tested.unionByName(pairs)
@@ -338,10 +357,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         if not rest.isEmpty():
             facts = reps.select("id", "signature").join(sets, "id")
             component = grown(component, materialize(cross_pairs(rest, facts, least, bands, percent), "links"))
+        discard(sets)
     # copies hang on their representative's component
     joined = classes.select("id", "rep").distinct().join(component.withColumnRenamed("id", "rep"), "rep", "left")
     copied = joined.select(F.coalesce("component", "rep").alias("b"), F.col("id").alias("a"))
     component = grown(component, copied)
+    for table in (classes, reps, shared):
+        discard(table)
     out = signed.select("id", "n_shingles").join(component, "id", "left")
     out = out.withColumn("component", F.coalesce("component", "id"))
     return out.withColumn("kept", F.coalesce(F.col("component") == F.col("id"), F.lit(True)))
