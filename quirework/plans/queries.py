@@ -164,6 +164,12 @@ def _named(spark, sf_dir):
     return _stage(spark, sf_dir, "named", build)
 
 
+def build_stages(spark: SparkSession, sf_dir: str) -> None:
+    """Build all stage tables."""
+    for stage in (_named, _book_drafts, _verified):
+        stage(spark, sf_dir)
+
+
 # --- pages ------------------------------------------------------------------------------------------
 
 
