@@ -1,7 +1,8 @@
 """Shared helpers: input columns under fixed names, and Arrow batches in slices.
 
 All operators of this subpackage select only the columns they need under names of their
-own, so extra input columns, also with clashing names, never matter.
+own, so extra input columns, also with clashing names, never matter. Ids are long integers:
+other types are cast, and an id that isn't a number fails the job under ANSI rules.
 """
 
 from __future__ import annotations
