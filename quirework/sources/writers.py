@@ -83,11 +83,15 @@ def sections_json(chapters: DataFrame, sections: DataFrame, warnings: DataFrame,
     """(doc_id, json): the nested document; characters stay as they are. ``titles``: (doc_id,
     document_title, source) of the documents, source being the name of the file they come from."""
     fields = ("section_title", "section_level", "parent_section", "page_start", "page_end", "content", "notes", "word_count", "h3_count")
-    s = sections.groupBy("doc_id", "chapter_idx").agg(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("s")))).alias("l"))
-    s = s.withColumn("sections", F.transform("l", lambda x: x["s"])).drop("l")
-    c = chapters.join(s, ["doc_id", "chapter_idx"], "left")
-    row = F.struct(F.col("chapter_number").alias("number"), F.col("chapter_title").alias("title"), F.col("chapter_summary").alias("summary"), "expected_sections", "page_start", "page_end", F.coalesce("sections", F.array().cast(s.schema["sections"].dataType)).alias("sections"))
-    d = c.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter_idx", row.alias("c")))), lambda x: x["c"]).alias("chapters"))
+    # documents meet by doc_id alone, so that sections dealt out by it stay where they are
+    s = sections.where("chapter_idx IS NOT NULL").groupBy("doc_id", "chapter_idx").agg(F.array_sort(F.collect_list(F.struct("pos", F.struct(*fields).alias("s")))).alias("l"))
+    s = s.select("doc_id", F.struct("chapter_idx", F.transform("l", lambda x: x["s"]).alias("s")).alias("e")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list("e")).alias("_sections"))
+    row = F.struct("chapter_idx", F.col("chapter_number").alias("number"), F.col("chapter_title").alias("title"), F.col("chapter_summary").alias("summary"), "expected_sections", "page_start", "page_end")
+    c = chapters.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chapter_idx", row.alias("c")))).alias("_chapters"))
+    none = F.array().cast(s.schema["_sections"].dataType.valueType)
+    names = ("number", "title", "summary", "expected_sections", "page_start", "page_end")
+    full = lambda x: F.struct(*(x["c"][n].alias(n) for n in names), F.coalesce(F.try_element_at("_sections", x["c"]["chapter_idx"]), none).alias("sections"))
+    d = c.join(s, "doc_id", "left").select("doc_id", F.transform("_chapters", full).alias("chapters"))
     w = warnings.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter_idx", "toc_idx", "message"))), lambda x: x["message"]).alias("warnings"))
     d = d.join(w, "doc_id", "left").withColumn("warnings", F.coalesce("warnings", F.array().cast("array<string>")))
     if titles is None:
