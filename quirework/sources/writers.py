@@ -146,8 +146,10 @@ def draft_files(results: DataFrame) -> DataFrame:
 
 
 def debug_files(results: DataFrame) -> DataFrame:
-    """(path, content): lengths and a preview of each call, as JSON."""
-    row = F.struct("section_title", "decision", F.length("user_prompt").alias("prompt_chars"), F.length("raw_text").alias("response_chars"), F.substring("raw_text", 1, 500).alias("preview"), "duration_seconds", "retry_count")
+    """(path, content): lengths and a preview of each call, as JSON. prompt_chars, if there is such a column,
+    stands for the prompts."""
+    chars = F.col("prompt_chars") if "prompt_chars" in results.columns else F.length("user_prompt")
+    row = F.struct("section_title", "decision", chars.alias("prompt_chars"), F.length("raw_text").alias("response_chars"), F.substring("raw_text", 1, 500).alias("preview"), "duration_seconds", "retry_count")
     name = F.concat(F.col("doc_id").cast("string"), F.lit("/debug/llm-calls/"), F.format_string("%d-%d-%d", "chapter_idx", "pos", "sub"), F.lit(".json"))
     return results.select(name.alias("path"), F.to_json(row).alias("content"))
 
