@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,16 +34,21 @@ def read_documents(spark: SparkSession, path: str, decoder: Decoder = decode_pdf
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for name, data in zip(f["path"], f["content"], strict=True):
+    schema = pa.schema([("path", pa.string()), ("title", pa.string()), ("page_number", pa.int32()), ("text", pa.string()), ("error", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, data in zip(b["path"], b["content"], strict=True):  # one file at a time becomes a Python object
+                name = path.as_py()
                 try:
-                    title, pages = decoder(data)
-                    yield pd.DataFrame({"path": name, "title": title, "page_number": range(1, len(pages) + 1), "text": pages, "error": None})
+                    title, pages = decoder(data.as_py())
+                    n = len(pages)
+                    out = pa.RecordBatch.from_pydict({"path": [name] * n, "title": [title] * n, "page_number": list(range(1, n + 1)), "text": list(pages), "error": [None] * n}, schema=schema)
                 except Exception as e:  # any decoder failure belongs to its file
-                    yield pd.DataFrame({"path": [name], "title": [None], "page_number": [0], "text": [None], "error": [f"{type(e).__name__}: {e}"]})
+                    out = pa.RecordBatch.from_pydict({"path": [name], "title": [None], "page_number": [0], "text": [None], "error": [f"{type(e).__name__}: {e}"]}, schema=schema)
+                yield out
 
-    rows = files.mapInPandas(run, "path string, title string, page_number int, text string, error string")
+    rows = files.mapInArrow(run, "path string, title string, page_number int, text string, error string")
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     return rows.select(F.xxhash64("path").alias("doc_id"), "path", resolve_title(F.col("title"), stem).alias("document_title"), "page_number", "text", "error")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,23 +19,23 @@ def write_files(files: DataFrame, root: str) -> int:
     Any store pyarrow opens by URI. A file is written whole and again by a task that is run again.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import posixpath
 
         from pyarrow.fs import FileSystem
 
         fs, base = FileSystem.from_uri(root)
         n = 0
-        for f in frames:
-            for path, content in zip(f["path"], f["content"], strict=True):
-                full = f"{base}/{path}"
+        for b in batches:
+            for path, content in zip(b["path"], b["content"], strict=True):  # one text at a time becomes a Python object
+                full = f"{base}/{path.as_py()}"
                 fs.create_dir(posixpath.dirname(full), recursive=True)
                 with fs.open_output_stream(full) as out:
-                    out.write((content or "").encode())
+                    out.write((content.as_py() or "").encode())
                 n += 1
-        yield pd.DataFrame({"n": [n]})
+        yield pa.RecordBatch.from_pydict({"n": [n]})
 
-    return files.select("path", "content").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return files.select("path", "content").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def remove_tree(root: str) -> None:
